@@ -5,17 +5,21 @@ row passes through one task.  This operator gives the same numbering with
 distributed work:
 
 1. ``repartitionByRange(n, order)`` samples split points over the full sort key
-   (a hot value is split by the later sort columns, so no partition has to hold
-   one big group) and ``sortWithinPartitions`` orders each range;
-2. ``monotonically_increasing_id`` then encodes (partition index, position);
-3. per-partition counts (n rows) are turned into offsets by a running sum over
-   that tiny table, broadcast back (size bounded by ``n``);
-4. key = offset(partition) + position + 1.
+   (a hot value is split by the later sort columns, so no task has to hold one
+   big group) and ``sortWithinPartitions`` orders each range;
+2. ``monotonically_increasing_id`` then encodes (range index, position) and the
+   rows are written once to a staging table in the shared checkpoint folder —
+   this fixes the ranges: counting and numbering read the same files, and a
+   lost executor cannot make them disagree (a re-run write task re-reads the
+   same shuffle partition in the same sorted order);
+3. per-range counts are read from the single ``_key_mid`` column (column
+   pruning), turned into offsets by a running sum over that tiny table (one row
+   per range, broadcast);
+4. key = offset(range) + position + 1.
 
 The range exchange has an explicit partition count, so adaptive execution does
-not coalesce it and partition indices equal range order.  Both uses of the
-ranged data sit in one plan and share the exchange.  With a unique order (add a
-tie-break column) the keys are deterministic under task retries.
+not coalesce it and the partition index equals the range order.  With a unique
+order (add a tie-break column) the numbering is deterministic.
 """
 
 from __future__ import annotations
@@ -25,30 +29,36 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from finlake.session import scratch_dir
+
 _MID, _PID, _CNT, _OFF = "_key_mid", "_key_pid", "_key_cnt", "_key_off"
 _POS_BITS = 33
 
 
 def sequence_key(df: DataFrame, order: Sequence[Column], key: str = "key",
-                 num_partitions: int | None = None) -> DataFrame:
-    """Add ``key`` (bigint, 1..N) following ``order`` (use explicit null ordering)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .withColumn(_MID, F.monotonically_increasing_id()))
-    ranged = ranged.withColumn(_PID, F.shiftright(F.col(_MID), _POS_BITS))
-    # A row hash (never null) is carried into the offsets so that column
-    # pruning keeps every column in the counting branch: both branches then
-    # share one range exchange, which is computed once and reused.
-    counts = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT),
-                                      F.max(F.hash(*[F.col(c) for c in df.columns])).alias("_key_h"))
+                 num_partitions: int | None = None, staging: str | None = None) -> DataFrame:
+    """Add ``key`` (bigint, 1..N) following ``order`` (give explicit null ordering).
+
+    Eager: the ranged rows are written to ``staging`` (default: a fresh folder
+    under ``spark.checkpoint.dir``); the returned DataFrame reads them back.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = staging or f"{scratch_dir(spark, 'keys')}/ranged"
+    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+       .withColumn(_MID, F.monotonically_increasing_id())
+       .write.mode("overwrite").parquet(path))
+    ranged = spark.read.parquet(path)
+    pid = F.shiftright(F.col(_MID), _POS_BITS)
+    counts = ranged.groupBy(pid.alias(_PID)).agg(F.count(F.lit(1)).alias(_CNT))
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(_CNT).over(before), F.lit(0))
-    offsets = counts.select(_PID, F.when(F.col("_key_h").isNotNull(), offset).alias(_OFF))
+    offsets = counts.select(_PID, F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF))
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    out = ranged.join(F.broadcast(offsets), _PID, "inner")
-    return out.withColumn(key, (F.col(_OFF) + pos + 1).cast("bigint")).drop(_MID, _PID, _OFF)
+    out = ranged.withColumn(_PID, pid).join(F.broadcast(offsets), _PID, "inner")
+    keyed = out.withColumn(key, (F.col(_OFF) + pos + 1).cast("bigint"))
+    return keyed.select(*df.columns, key)
 
 
 def row_number_key(df: DataFrame, order: Sequence[Column], key: str = "key") -> DataFrame:
-    """Reference formulation (global window).  Only for bounded inputs and tests."""
+    """Reference formulation (global window, one partition).  Bounded inputs and tests only."""
     return df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

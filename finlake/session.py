@@ -29,7 +29,8 @@ def get_session(master: str | None = None, app_name: str = "finlake",
 
     On a cluster ``master`` is left to spark-submit; tests pass ``local[*]``.
     """
-    builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for k, v in DEFAULTS.items():

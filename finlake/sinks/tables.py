@@ -36,15 +36,11 @@ def load(df: DataFrame, target: str, mode: str = "append",
         return 0
     spark = df.sparkSession
     exists = table_exists(spark, target)
-    if mode == "append" and exists:
-        current = read_table(spark, target)
+    current = read_table(spark, target) if mode == "append" and exists else None
+    if current is not None:
         df = align_to(df, current.schema.fieldNames(), current.schema)
-        if dedupe_keys:
-            df = df.dropDuplicates(list(dedupe_keys))
-            # only the key columns of the target are scanned (column pruning)
-            df = df.join(current.select(*dedupe_keys), list(dedupe_keys), "left_anti")
-    elif dedupe_keys:
-        df = df.dropDuplicates(list(dedupe_keys))
+    if dedupe_keys:
+        df = _dedupe(df, list(dedupe_keys), current)
     obs = Observation("load")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_mode = "overwrite" if mode == "replace" else "append"
@@ -56,6 +52,23 @@ def load(df: DataFrame, target: str, mode: str = "append",
     return int(obs.get.get("rows", 0))
 
 
+def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None) -> DataFrame:
+    """Drop in-batch duplicates and keys already in ``current``.
+
+    Rows with a null key cannot be matched and pass through unchanged.
+    ``dropDuplicates`` is an aggregation with map-side combine, so a hot key
+    is collapsed before the shuffle; the anti join reads only the key columns
+    of the target.
+    """
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    keyed = df.filter(has_key).dropDuplicates(keys)
+    if current is not None:
+        keyed = keyed.join(current.select(*keys).filter(has_key), keys, "left_anti")
+    return keyed.unionByName(df.filter(~has_key))
+
+
 def align_to(df: DataFrame, names: Sequence[str], schema) -> DataFrame:
     """Select ``names`` in order; raise if a column is missing, extra or of another type."""
     have = {f.name: f.dataType for f in df.schema.fields}

@@ -29,10 +29,12 @@ REASON = "_reject_reason"
 
 def parse(msgs: DataFrame, value_col: str = "value",
           ingested_at: Column | None = None) -> DataFrame:
-    """All raw.transactions columns plus ``_reject_reason`` (null for good rows) and ``value``."""
+    """All raw.transactions columns plus ``_reject_reason`` (null for good rows),
+    ``value`` and the other input columns (e.g. the message key) carried through."""
     keys = F.json_object_keys(F.col(value_col))
     m = F.from_json(F.col(value_col), MESSAGE)
-    df = msgs.select(F.col(value_col).alias("value"), keys.alias("_keys"), m.alias("_m"))
+    carried = [c for c in msgs.columns if c != value_col]
+    df = msgs.select(*carried, F.col(value_col).alias("value"), keys.alias("_keys"), m.alias("_m"))
 
     def has(k: str) -> Column:
         return F.array_contains(F.col("_keys"), F.lit(k))
@@ -58,6 +60,7 @@ def parse(msgs: DataFrame, value_col: str = "value",
     explicit_debit = has("transaction_type") & (F.col("_m.transaction_type") == F.lit("debit"))
     ingested = ingested_at if ingested_at is not None else F.current_timestamp()
     out = df.select(
+        *carried,
         "value",
         F.col("_m.transaction_id").alias("transaction_id"),
         F.col("_m.account_id").alias("account_id"),
@@ -89,8 +92,10 @@ def valid_rows(parsed: DataFrame) -> DataFrame:
 
 
 def rejected_rows(parsed: DataFrame) -> DataFrame:
+    """Dead letters: the untouched message (key when present), the reason and the time."""
+    key = [F.col("key")] if "key" in parsed.columns else []
     return parsed.filter(F.col(REASON).isNotNull()).select(
-        "value", F.col(REASON).alias("reason"), F.col("_ingested_at").alias("rejected_at"))
+        *key, "value", F.col(REASON).alias("reason"), F.col("_ingested_at").alias("rejected_at"))
 
 
 def to_raw(msgs: DataFrame, value_col: str = "value",
