@@ -1,53 +1,78 @@
 """The model graph as function composition (raw -> staging -> intermediate -> marts).
 
-``build(raw_tx, raw_rates)`` returns every model as a lazy DataFrame; staging
-and intermediate stay views (they inline into one Catalyst plan per mart).
-``materialise`` writes the marts (full refresh) and returns their row counts,
-so reports read tables and joins can be sized from known counts.
+``build(raw_tx, raw_rates)`` returns a ``Warehouse`` whose models are built on
+first access (staging and intermediate stay lazy views that inline into one
+Catalyst plan per mart; operators that must run eagerly, such as surrogate
+keys, only run for the models actually used).  ``materialise`` writes the
+marts (full refresh, dims first, then the fact joined against the written dims
+with broadcast decisions taken from the observed dimension row counts).
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from finlake.plans import conversion, dims, facts, staging
 from finlake.sinks.tables import write_mart
 
+MODELS = ("raw_transactions", "raw_exchange_rates", "stg_transactions", "stg_exchange_rates",
+          "int_transactions_with_gbp", "dim_dates", "dim_accounts", "dim_categories",
+          "fact_transactions")
+MARTS = ("dim_dates", "dim_accounts", "dim_categories", "fact_transactions")
+
 
-@dataclass
 class Warehouse:
-    raw_transactions: DataFrame
-    raw_exchange_rates: DataFrame
-    stg_transactions: DataFrame
-    stg_exchange_rates: DataFrame
-    int_transactions_with_gbp: DataFrame
-    dim_dates: DataFrame
-    dim_accounts: DataFrame
-    dim_categories: DataFrame
-    fact_transactions: DataFrame
+    def __init__(self, raw_tx: DataFrame, raw_rates: DataFrame, with_fact_key: bool = True,
+                 num_partitions: int | None = None):
+        self.raw_transactions = raw_tx
+        self.raw_exchange_rates = raw_rates
+        self.with_fact_key = with_fact_key
+        self.num_partitions = num_partitions
+
+    @cached_property
+    def stg_transactions(self) -> DataFrame:
+        return staging.stg_transactions(self.raw_transactions)
+
+    @cached_property
+    def stg_exchange_rates(self) -> DataFrame:
+        return staging.stg_exchange_rates(self.raw_exchange_rates)
+
+    @cached_property
+    def int_transactions_with_gbp(self) -> DataFrame:
+        return conversion.int_transactions_with_gbp(self.stg_transactions, self.stg_exchange_rates)
+
+    @cached_property
+    def dim_dates(self) -> DataFrame:
+        return dims.dim_dates(self.raw_transactions.sparkSession)
+
+    @cached_property
+    def dim_accounts(self) -> DataFrame:
+        return dims.dim_accounts(self.stg_transactions, self.num_partitions)
+
+    @cached_property
+    def dim_categories(self) -> DataFrame:
+        return dims.dim_categories(self.stg_transactions, self.num_partitions)
+
+    @cached_property
+    def fact_transactions(self) -> DataFrame:
+        return facts.fact_transactions(self.int_transactions_with_gbp, self.dim_accounts,
+                                       self.dim_categories, self.dim_dates,
+                                       with_key=self.with_fact_key,
+                                       num_partitions=self.num_partitions)
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {name: getattr(self, name) for name in MODELS}
 
 
 def build(raw_tx: DataFrame, raw_rates: DataFrame, with_fact_key: bool = True,
           num_partitions: int | None = None) -> Warehouse:
-    spark = raw_tx.sparkSession
-    stg_tx = staging.stg_transactions(raw_tx)
-    stg_rates = staging.stg_exchange_rates(raw_rates)
-    int_tx = conversion.int_transactions_with_gbp(stg_tx, stg_rates)
-    dd = dims.dim_dates(spark)
-    da = dims.dim_accounts(stg_tx, num_partitions)
-    dc = dims.dim_categories(stg_tx, num_partitions)
-    fact = facts.fact_transactions(int_tx, da, dc, dd, with_key=with_fact_key,
-                                   num_partitions=num_partitions)
-    return Warehouse(raw_tx, raw_rates, stg_tx, stg_rates, int_tx, dd, da, dc, fact)
+    return Warehouse(raw_tx, raw_rates, with_fact_key, num_partitions)
 
 
 def materialise(wh: Warehouse, root: str) -> dict[str, int]:
-    """Write dims first, then the fact joined against the written dims."""
+    """Write the marts under ``root``; return their row counts."""
     spark = wh.raw_transactions.sparkSession
     counts: dict[str, int] = {}
     for name in ("dim_dates", "dim_accounts", "dim_categories"):
@@ -56,7 +81,12 @@ def materialise(wh: Warehouse, root: str) -> dict[str, int]:
     dc = spark.read.parquet(f"{root}/dim_categories")
     dd = spark.read.parquet(f"{root}/dim_dates")
     fact = facts.fact_transactions(wh.int_transactions_with_gbp, da, dc, dd,
+                                   num_partitions=wh.num_partitions,
                                    account_rows=counts["dim_accounts"],
                                    category_rows=counts["dim_categories"])
     counts["fact_transactions"] = write_mart(fact, f"{root}/fact_transactions")
     return counts
+
+
+def read_marts(spark, root: str) -> dict[str, DataFrame]:
+    return {name: spark.read.parquet(f"{root}/{name}") for name in MARTS}

@@ -116,15 +116,20 @@ def q_surrogate_key(spark, sf):
                               F.col("transaction_id").asc_nulls_last()], "transaction_key")
 
 
+class _Marts:
+    def __init__(self, tables: dict[str, DataFrame]):
+        self.__dict__.update(tables)
+
+
 def _marts(spark, sf):
-    wh = _wh(spark, sf, with_fact_key=False)
-    return wh, wh.fact_transactions
+    """Reports read the materialised marts, as the reference dashboard does."""
+    m = _Marts(landing.marts(spark, sf))
+    return m, m.fact_transactions
 
 
 def q_wide_transactions(spark, sf):
-    wh = _wh(spark, sf)
-    return present(reports.wide_transactions(wh.fact_transactions, wh.dim_accounts,
-                                             wh.dim_categories, wh.dim_dates))
+    m, fact = _marts(spark, sf)
+    return present(reports.wide_transactions(fact, m.dim_accounts, m.dim_categories, m.dim_dates))
 
 
 def q_summary_stats(spark, sf):
@@ -239,8 +244,12 @@ def q_publish_messages(spark, sf):
 
 def _dq(tests):
     def run(spark, sf):
+        """Declared checks over the raw tables, the staging / intermediate views
+        and the materialised marts (the reference tests after building)."""
         wh = _wh(spark, sf)
-        return run_checks(wh.tables(), checks.DECLARED, tests, checks.SMALL_PARENTS)
+        tables = {name: getattr(wh, name) for name in warehouse.MODELS if name not in warehouse.MARTS}
+        tables.update(landing.marts(spark, sf))
+        return run_checks(tables, checks.DECLARED, tests, checks.SMALL_PARENTS)
     return run
 
 

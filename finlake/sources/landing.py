@@ -27,8 +27,9 @@ from finlake.sources import standins as S
 from finlake.sources.tables import table_exists
 from finlake.streaming import consumer
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _LANDED: dict[tuple[str, str], dict[str, str]] = {}
+_MARTS: dict[tuple[str, str], str] = {}
 
 
 def land(spark: SparkSession, sf_dir: str) -> dict[str, str]:
@@ -64,6 +65,23 @@ def land(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         return paths
 
 
+def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The marts built from the landed raw tables and written once per session
+    (the reference's ``dbt run``); dashboards and checks read these tables."""
+    from finlake.plans import warehouse
+
+    configure(spark)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _LOCK:
+        root = _MARTS.get(key)
+        if root is None or not all(table_exists(spark, f"{root}/{m}") for m in warehouse.MARTS):
+            root = scratch_dir(spark, "marts")
+            wh = warehouse.build(raw_transactions(spark, sf_dir), raw_exchange_rates(spark, sf_dir))
+            warehouse.materialise(wh, root)
+            _MARTS[key] = root
+    return warehouse.read_marts(spark, root)
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(land(spark, sf_dir)["transactions"])
 
