@@ -417,6 +417,7 @@ def build() -> dict[str, str]:
                                 TX_DATES)
     for name, tests in (("dq_unique", ("unique",)), ("dq_not_null", ("not_null",)),
                         ("dq_accepted_values", ("accepted_values",)),
-                        ("dq_relationships", ("relationships",))):
+                        ("dq_relationships", ("relationships",)),
+                        ("dq_report", ("unique", "not_null", "accepted_values", "relationships"))):
         q[name] = _with(WAREHOUSE, _dq_sql(tests))
     return q

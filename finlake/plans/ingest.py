@@ -72,3 +72,25 @@ def run(extract: DataFrame, transforms: Sequence[Callable[[DataFrame], DataFrame
         "ingested_at": ingested_at.isoformat(),
         "duration_seconds": time.time() - started,
     }
+
+
+def ingest_exchange_rates(spark, documents_path: str, target: str, base_currency: str = "GBP",
+                          target_currencies=None, start_date=None, end_date=None,
+                          mode: str = "append", ingested_at: dt.datetime | None = None) -> dict:
+    """Rates job: landed documents -> flatten / select (SRC1, SRC2) -> PRJ1 + PRJ4 -> load."""
+    from finlake.sources import rates_json
+
+    at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    rows = rates_json.flatten_rates(rates_json.read_documents(spark, documents_path), base_currency,
+                                    target_currencies, start_date, end_date)
+    return run(rows, [lambda df: rates_transform(df, at)], target, mode=mode, ingested_at=at)
+
+
+def ingest_transactions(extract: DataFrame, target: str, mode: str = "append",
+                        source: str = "MockTransactionsIngestion",
+                        dedupe_keys: Sequence[str] | None = None,
+                        ingested_at: dt.datetime | None = None) -> dict:
+    """Transactions job: extract (14 columns) -> PRJ1-PRJ3 -> load (optionally idempotent)."""
+    at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return run(extract, [lambda df: transactions_transform(df, at, source)], target, mode=mode,
+               dedupe_keys=dedupe_keys, ingested_at=at)

@@ -285,6 +285,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_not_null": _dq(("not_null",)),
     "dq_accepted_values": _dq(("accepted_values",)),
     "dq_relationships": _dq(("relationships",)),
+    "dq_report": _dq(("unique", "not_null", "accepted_values", "relationships")),
 }
 
 # Queries without a SQL oracle (checked on row counts only).

@@ -72,3 +72,17 @@ def test_checks_find_violations(spark):
            for r in run_checks({"child": child, "parent": parent}, declared).collect()}
     assert out == {("id", "unique"): 1, ("id", "not_null"): 1, ("kind", "accepted_values"): 1,
                    ("parent", "relationships"): 1}
+
+
+def test_materialise_marts(spark, tmp_path):
+    from finlake.plans import warehouse
+    from finlake.sources import standins as S
+    sf = "/root/testdata/sf0.001"
+    wh = warehouse.build(S.raw_transactions(spark, sf), S.raw_exchange_rates(spark, sf))
+    counts = warehouse.materialise(wh, str(tmp_path / "marts"))
+    assert counts["dim_dates"] == 2922
+    marts = warehouse.read_marts(spark, str(tmp_path / "marts"))
+    fact = marts["fact_transactions"]
+    assert fact.count() == counts["fact_transactions"] == wh.stg_transactions.count()
+    keys = fact.agg({"transaction_key": "max"}).first()[0]
+    assert keys == counts["fact_transactions"]
