@@ -122,3 +122,14 @@ def test_sequence_key_has_no_single_partition_sort_of_the_data(spark):
     # the only single-partition step is the running sum over one row per range
     assert "RangePartitioning" not in plan  # ranged rows were staged; the read-back is a scan
     assert out.agg(F.min("k"), F.max("k")).first() == (1, 1000)
+
+
+def test_asof_hot_key_shuffle_path(spark):
+    # a third of the transactions on one (currency, day); the calendar is not broadcast
+    tx = [(f"h{i}", "USD", D(2024, 1, 7)) for i in range(300)] + \
+         [(f"o{i}", "USD" if i % 2 else "EUR", D(2024, 1, 1) + dt.timedelta(days=i % 40)) for i in range(600)]
+    t = spark.createDataFrame(tx, "id string, ccy string, d date")
+    out = asof_join(t, _rates(spark), left_key="ccy", right_key="ccy", left_date="d", right_date="d",
+                    values=["rate"], max_broadcast_rows=0)
+    got = {r.id: r.rate for r in out.collect()}
+    assert len(got) == 900 and all(got[f"h{i}"] == 1.25 for i in range(300))
