@@ -57,3 +57,12 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "transaction_key" in df.columns
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_plan_has_no_python_or_nested_loops(spark, name):
+    df = E.queries()[name](spark, SF)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"):
+        assert bad not in plan, f"{name}: {bad}"
