@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 2_000_000  # ~100 MB of (currency, day, date, rate)
 
 
 def validity_calendar(right: DataFrame, key: str, time: str, values: list[str]) -> DataFrame:

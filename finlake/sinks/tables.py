@@ -21,7 +21,8 @@ class SchemaMismatch(ValueError):
 
 def load(df: DataFrame, target: str, mode: str = "append",
          dedupe_keys: Sequence[str] | None = None, fmt: str = "parquet",
-         check_empty: bool = True) -> int:
+         check_empty: bool = True, dedupe_scope: Sequence[str] | None = None,
+         partition_by: Sequence[str] | None = None) -> int:
     """Write ``df`` to ``target`` (Parquet path or catalog table); return rows written.
 
     * empty input -> 0, nothing is created and a replace keeps the old table
@@ -29,6 +30,11 @@ def load(df: DataFrame, target: str, mode: str = "append",
     * ``mode="replace"``: overwrite
     * ``dedupe_keys``: idempotent append — duplicates inside the batch are
       dropped, and keys already present in the target are anti-joined away
+    * ``dedupe_scope``: columns every duplicate shares with its original (e.g.
+      transaction year / month).  Only target rows in the batch's scope values
+      are compared: with the target partitioned by those columns this reads a
+      few partitions instead of every key ever loaded
+    * ``partition_by``: partition columns of a newly created target
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -40,11 +46,15 @@ def load(df: DataFrame, target: str, mode: str = "append",
     if current is not None:
         df = align_to(df, current.schema.fieldNames(), current.schema)
     if dedupe_keys:
-        df = _dedupe(df, list(dedupe_keys), current)
+        df = _dedupe(df, list(dedupe_keys), current, list(dedupe_scope or []))
     obs = Observation("load")
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_mode = "overwrite" if mode == "replace" else "append"
     writer = df.write.mode(write_mode).format(fmt)
+    if partition_by and (current is None or mode == "replace"):
+        writer = writer.partitionBy(*partition_by)
+    elif current is not None and _partition_columns(current, target):
+        writer = writer.partitionBy(*_partition_columns(current, target))
     if _is_path(target):
         writer.save(target)
     else:
@@ -52,23 +62,40 @@ def load(df: DataFrame, target: str, mode: str = "append",
     return int(obs.get.get("rows", 0))
 
 
-def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None) -> DataFrame:
+def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
+            scope: list[str]) -> DataFrame:
     """Drop in-batch duplicates and keys already in ``current``.
 
     Rows with a null key cannot be matched and pass through unchanged.
     ``dropDuplicates`` is an aggregation with map-side combine, so a hot key
-    is collapsed before the shuffle; the anti join reads only the key columns
-    of the target.
+    is collapsed before the shuffle; the anti join reads only the key (and
+    scope) columns of the target, restricted to the batch's scope values
+    (a broadcast semi join: the distinct scope values of one batch are a
+    handful of calendar months).
     """
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
     keyed = df.filter(has_key).dropDuplicates(keys)
     if current is not None:
-        keyed = keyed.join(current.select(*keys).filter(has_key), keys, "left_anti")
+        seen = current.select(*keys, *scope).filter(has_key)
+        if scope:
+            seen = seen.join(F.broadcast(keyed.select(*scope).distinct()), scope, "left_semi")
+        keyed = keyed.join(seen.select(*keys, *scope), [*keys, *scope] if scope else keys, "left_anti")
     return keyed.unionByName(df.filter(~has_key))
 
 
+def _partition_columns(current: DataFrame, target: str) -> list[str]:
+    """Partition columns of an existing Parquet target (from its folder layout)."""
+    if not _is_path(target):
+        return []
+    files = current.inputFiles()[:1]
+    if not files:
+        return []
+    rel = files[0].split(target.rstrip("/").split("://")[-1], 1)[-1]
+    return [part.split("=", 1)[0] for part in rel.strip("/").split("/")[:-1] if "=" in part]
+
+
 def align_to(df: DataFrame, names: Sequence[str], schema) -> DataFrame:
     """Select ``names`` in order; raise if a column is missing, extra or of another type."""
     have = {f.name: f.dataType for f in df.schema.fields}

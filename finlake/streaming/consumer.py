@@ -44,14 +44,24 @@ def message_stream(spark: SparkSession, source: str = "kafka", **opts) -> DataFr
                                opts.get("fmt", "parquet"))
 
 
+DEDUPE_SCOPE = ["transaction_year", "transaction_month"]
+
+
 def write_batch(batch: DataFrame, raw_target: str, dead_letter_target: str | None,
                 dedupe_keys: Sequence[str] | None = None,
-                ingested_at: Column | None = None) -> dict[str, int]:
-    """One micro-batch: parse, split, append.  Returns rows written per output."""
+                ingested_at: Column | None = None,
+                dedupe_scope: Sequence[str] | None = DEDUPE_SCOPE) -> dict[str, int]:
+    """One micro-batch: parse, split, append.  Returns rows written per output.
+
+    With ``dedupe_keys`` the comparison with the target is limited to the
+    batch's ``dedupe_scope`` values (a message and its repeat carry the same
+    transaction date, hence the same year / month).
+    """
     parsed = messages.parse(batch, ingested_at=ingested_at).persist()
     try:
         good = messages.valid_rows(parsed)
-        written = {"good": sink.load(good, raw_target, mode="append", dedupe_keys=dedupe_keys)}
+        written = {"good": sink.load(good, raw_target, mode="append", dedupe_keys=dedupe_keys,
+                                     dedupe_scope=dedupe_scope if dedupe_keys else None)}
         if dead_letter_target:
             written["rejected"] = sink.load(messages.rejected_rows(parsed), dead_letter_target,
                                             mode="append")

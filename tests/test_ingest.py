@@ -112,3 +112,16 @@ def test_ingest_exchange_rates_job(spark, tmp_path):
     assert stats["rows_loaded"] == 2
     rows = {r.target_currency: r for r in spark.read.parquet(target).collect()}
     assert rows["USD"].inverse_rate == 0.8 and rows["USD"]._ingested_at == AT
+
+
+def test_scoped_dedupe_on_partitioned_target(spark, tmp_table):
+    rows = [(1, "a", 2024, 1), (2, "b", 2024, 1), (3, "c", 2024, 2)]
+    df = spark.createDataFrame(rows, "id bigint, value string, y int, m int")
+    assert sink.load(df, tmp_table, partition_by=["y", "m"]) == 3
+    again = spark.createDataFrame([(1, "a", 2024, 1), (3, "c", 2024, 2), (4, "d", 2024, 3)],
+                                  "id bigint, value string, y int, m int")
+    assert sink.load(again, tmp_table, dedupe_keys=["id"], dedupe_scope=["y", "m"]) == 1
+    out = spark.read.parquet(tmp_table)
+    assert sorted(r.id for r in out.collect()) == [1, 2, 3, 4]
+    import os
+    assert os.path.isdir(os.path.join(tmp_table, "y=2024", "m=3"))
