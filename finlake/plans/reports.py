@@ -101,14 +101,36 @@ def daily_totals(fact: DataFrame) -> DataFrame:
             .orderBy("transaction_date", "transaction_type"))
 
 
-def top_merchants(fact: DataFrame, k: int = 10) -> DataFrame:
-    """RPT5: the k merchants with the highest debit spend (ties by name)."""
+def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
+    """Hand a report to the client (SNK9) — refuses results above ``max_rows``
+    instead of pulling an unbounded table through the driver."""
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; aggregate or page it instead")
+    return pdf
+
+
+def has_rows(df: DataFrame) -> bool:
+    """Empty-result guard of the dashboard panels (one ``limit 1`` probe)."""
+    return not df.isEmpty()
+
+
+def top_merchants(fact: DataFrame, k: int = 10, display: bool = False) -> DataFrame:
+    """RPT5: the k merchants with the highest debit spend (ties by name).
+
+    ``display=True`` gives the dashboard table: Merchant, Total Spend (text), Transactions.
+    """
     per = (_debits(fact).filter(F.col("merchant").isNotNull()).groupBy("merchant")
            .agg(_pennies(F.sum("amount_gbp")).alias("total_spend"),
                 F.count("transaction_id").alias("transaction_count")))
     top = per.orderBy(F.col("total_spend").desc(), F.col("merchant").asc()).limit(k)
-    return top.select("merchant", "total_spend", C.money("total_spend").alias("total_spend_display"),
-                      "transaction_count")
+    out = top.select("merchant", "total_spend", C.money("total_spend").alias("total_spend_display"),
+                     "transaction_count")
+    if display:
+        return out.orderBy(F.col("total_spend").desc(), F.col("merchant")).select(
+            F.col("merchant").alias("Merchant"), F.col("total_spend_display").alias("Total Spend"),
+            F.col("transaction_count").alias("Transactions"))
+    return out
 
 
 def parent_category_breakdown(fact: DataFrame, dim_categories: DataFrame) -> DataFrame:
@@ -121,17 +143,25 @@ def parent_category_breakdown(fact: DataFrame, dim_categories: DataFrame) -> Dat
             .orderBy("parent_category"))
 
 
-def recent_transactions(fact: DataFrame, dim_categories: DataFrame, k: int = 20) -> DataFrame:
-    """RPT7: the k newest transactions with a signed money label."""
+def recent_transactions(fact: DataFrame, dim_categories: DataFrame, k: int = 20,
+                        display: bool = False) -> DataFrame:
+    """RPT7: the k newest transactions with a signed money label.
+
+    ``display=True`` gives the dashboard table: Date, Merchant, Category, Amount.
+    """
     recent = fact.select("transaction_id", "transaction_date", "merchant", "category_key",
                          "amount_gbp", "transaction_type") \
         .orderBy(F.col("transaction_date").desc_nulls_last(),
                  F.col("transaction_id").asc_nulls_last()).limit(k)
     named = recent.join(dim_categories.select("category_key", "category_name"),
                         "category_key", "left")
-    return named.select("transaction_id", "transaction_date", "merchant", "category_name",
-                        C.signed_money("amount_gbp", "transaction_type").alias("amount_display")) \
+    out = named.select("transaction_id", "transaction_date", "merchant", "category_name",
+                       C.signed_money("amount_gbp", "transaction_type").alias("amount_display")) \
         .orderBy(F.col("transaction_date").desc_nulls_last(), F.col("transaction_id"))
+    if display:
+        return out.select(F.col("transaction_date").alias("Date"), F.col("merchant").alias("Merchant"),
+                          F.col("category_name").alias("Category"), F.col("amount_display").alias("Amount"))
+    return out
 
 
 def day_of_week_spend(fact: DataFrame, dim_dates: DataFrame) -> DataFrame:

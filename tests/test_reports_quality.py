@@ -86,3 +86,20 @@ def test_materialise_marts(spark, tmp_path):
     assert fact.count() == counts["fact_transactions"] == wh.stg_transactions.count()
     keys = fact.agg({"transaction_key": "max"}).first()[0]
     assert keys == counts["fact_transactions"]
+
+
+def test_display_tables_and_empty_guard(spark):
+    fact, cats, _ = _marts(spark)
+    top = reports.top_merchants(fact, k=1, display=True)
+    assert top.columns == ["Merchant", "Total Spend", "Transactions"]
+    assert top.first()["Total Spend"] == "£15.50"
+    recent = reports.recent_transactions(fact, cats, k=2, display=True)
+    assert recent.columns == ["Date", "Merchant", "Category", "Amount"]
+    assert reports.has_rows(fact) and not reports.has_rows(fact.filter("false"))
+
+
+def test_bounded_collect(spark):
+    import pytest
+    assert len(reports.to_pandas_bounded(spark.range(5), 10)) == 5
+    with pytest.raises(ValueError):
+        reports.to_pandas_bounded(spark.range(50), 10)
