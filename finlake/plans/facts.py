@@ -5,8 +5,9 @@ Dimension joins:
 * dim_categories, dim_accounts: sizes depend on the data -> plain left joins,
   planned by size; adaptive execution turns them into broadcasts at run time
   when the measured dimension is small and splits skewed account keys
-  otherwise.  ``broadcast_rows`` lets a caller that knows the counts
-  (materialised marts) force the choice.
+  otherwise.  ``account_rows`` / ``category_rows`` let a caller that knows
+  the counts (``warehouse.materialise``, from the written dims) broadcast a
+  dimension of at most ``DIM_BROADCAST_MAX_ROWS`` rows outright.
 
 The transaction key is a dense 1..N over (transaction_timestamp, transaction_id)
 from ``sequence_key`` (no single-partition window); the reference orders by
