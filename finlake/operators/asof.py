@@ -24,13 +24,17 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000  # ~100 MB of (currency, day, date, rate)
 
 
-def validity_calendar(right: DataFrame, key: str, time: str, values: list[str]) -> DataFrame:
+def validity_calendar(right: DataFrame, key: str, time: str, values: list[str],
+                      horizon=None) -> DataFrame:
     """One row per (key, day) naming the right row valid that day.
 
     ``right`` must hold at most one row per (key, time).  Columns: ``key``,
     ``_asof_day`` (date), ``time`` (the right row's own date), ``values``.
+    The last interval of every key runs to ``horizon`` (default: the newest
+    date of ``right``, as a scalar subquery).
     """
-    horizon = right.select(F.max(F.col(time).cast("date"))).scalar()
+    if horizon is None:
+        horizon = right.select(F.max(F.col(time).cast("date"))).scalar()
     w = Window.partitionBy(key).orderBy(time)
     r = right.select(key, F.col(time).cast("date").alias(time), *values)
     r = r.withColumn("_asof_next", F.lead(time).over(w))
@@ -49,8 +53,8 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     get nulls.
     """
     rename = rename or {}
-    cal = validity_calendar(right, right_key, right_date, values)
     horizon = right.select(F.max(F.col(right_date).cast("date"))).scalar()
+    cal = validity_calendar(right, right_key, right_date, values, horizon)
     cal = cal.select(
         F.col(right_key).alias("_asof_key"), "_asof_day",
         *[F.col(c).alias(rename.get(c, c)) for c in [right_date, *values]])
