@@ -65,6 +65,13 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in MODELS}
 
+    def register_views(self, names=MODELS, prefix: str = "") -> list[str]:
+        """Expose models as temporary views (SNK7) so SQL runs against them by name,
+        e.g. ``spark.sql("select count(*) from fact_transactions")``."""
+        for name in names:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in names]
+
 
 def build(raw_tx: DataFrame, raw_rates: DataFrame, with_fact_key: bool = True,
           num_partitions: int | None = None) -> Warehouse:

@@ -103,3 +103,18 @@ def test_bounded_collect(spark):
     assert len(reports.to_pandas_bounded(spark.range(5), 10)) == 5
     with pytest.raises(ValueError):
         reports.to_pandas_bounded(spark.range(50), 10)
+
+
+def test_views_answer_dashboard_sql(spark):
+    from finlake.plans import warehouse
+    from finlake.sources import standins as S
+    sf = "/root/testdata/sf0.001"
+    wh = warehouse.build(S.raw_transactions(spark, sf), S.raw_exchange_rates(spark, sf))
+    wh.register_views(["stg_transactions", "int_transactions_with_gbp", "fact_transactions"])
+    sql = spark.sql("""
+        SELECT COUNT(*) AS total_transactions,
+               round(SUM(CASE WHEN transaction_type = 'credit' THEN amount_gbp ELSE 0 END), 2) AS total_income,
+               round(SUM(CASE WHEN transaction_type = 'debit' THEN amount_gbp ELSE 0 END), 2) AS total_expenses,
+               COUNT(DISTINCT merchant) AS unique_merchants
+        FROM fact_transactions""").first()
+    assert tuple(sql) == tuple(reports.summary_stats(wh.fact_transactions).first())
