@@ -17,9 +17,11 @@ distributed work:
    per range, broadcast);
 4. key = offset(range) + position + 1.
 
-The range exchange has an explicit partition count, so adaptive execution does
-not coalesce it and the partition index equals the range order.  With a unique
-order (add a tie-break column) the numbering is deterministic.
+Without ``num_partitions`` the range count is left to adaptive execution: it
+starts from ``spark.sql.shuffle.partitions`` and merges small *adjacent*
+ranges, so partition indices stay in range order (a 30-row dimension does not
+write 200 files).  With a unique order (add a tie-break column) the numbering
+is deterministic.
 """
 
 from __future__ import annotations
@@ -43,9 +45,10 @@ def sequence_key(df: DataFrame, order: Sequence[Column], key: str = "key",
     under ``spark.checkpoint.dir``); the returned DataFrame reads them back.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = staging or f"{scratch_dir(spark, 'keys')}/ranged"
-    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    (ranged.sortWithinPartitions(*order)
        .withColumn(_MID, F.monotonically_increasing_id())
        .write.mode("overwrite").parquet(path))
     ranged = spark.read.parquet(path)
