@@ -323,6 +323,23 @@ def _dq_sql(tests: tuple[str, ...]) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+TITLE = ("array_to_string(list_transform(range(1, length({0}) + 1), lambda i: "
+         "CASE WHEN i = 1 OR NOT regexp_matches(substr({0}, i - 1, 1), '\\p{{L}}') "
+         "THEN upper(substr({0}, i, 1)) ELSE lower(substr({0}, i, 1)) END), '')")
+ISO = ("CASE WHEN epoch_us({0}) % 1000000 = 0 THEN strftime({0}, '%Y-%m-%dT%H:%M:%S') "
+       "ELSE strftime({0}, '%Y-%m-%dT%H:%M:%S.%f') END")
+MESSAGE_FIELDS = ("'account_id': account_id, 'account_name': account_name, 'account_type': account_type, "
+                  "'currency': currency, 'amount': amount, 'transaction_type': transaction_type, "
+                  "'category': category, 'merchant': merchant, "
+                  "'description': merchant || ' - ' || cat_title, "
+                  "'transaction_date': strftime(transaction_timestamp, '%Y-%m-%d'), "
+                  "'transaction_timestamp': ts_iso, 'event_time': ts_iso")
+PUBLISH = ("SELECT account_id AS key, CASE WHEN transaction_id IS NULL "
+           "THEN to_json({" + MESSAGE_FIELDS + "}) "
+           "ELSE to_json({'transaction_id': transaction_id, " + MESSAGE_FIELDS + "}) END AS value "
+           "FROM (SELECT *, " + TITLE.format("category") + " AS cat_title, "
+           + ISO.format("transaction_timestamp") + " AS ts_iso FROM batch_raw)")
+
 TX_DATES = ("transaction_date",)
 TX_DECIMALS = ("amount", "signed_amount")
 
@@ -417,6 +434,7 @@ def build() -> dict[str, str]:
                                        "SELECT DISTINCT * EXCLUDE (_ingested_at) FROM stream_raw"), TX_DATES)
     q["dedup_append"] = present(_with(RAW, "SELECT DISTINCT * FROM stream_raw UNION ALL SELECT * FROM batch_raw"),
                                 TX_DATES)
+    q["publish_messages"] = _with(BATCH_RAW, PUBLISH)
     for name, tests in (("dq_unique", ("unique",)), ("dq_not_null", ("not_null",)),
                         ("dq_accepted_values", ("accepted_values",)),
                         ("dq_relationships", ("relationships",)),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finlake.functions import columns as C
 from finlake.sources.kafka import kafka_write
 
 
@@ -26,7 +27,7 @@ def to_messages(tx: DataFrame, event_time: str = "transaction_timestamp") -> Dat
     msg = F.struct(
         "transaction_id", "account_id", "account_name", "account_type", "currency", "amount",
         "transaction_type", "category", "merchant",
-        F.concat(F.col("merchant"), F.lit(" - "), F.initcap("category")).alias("description"),
+        F.concat(F.col("merchant"), F.lit(" - "), C.title_case("category")).alias("description"),
         F.date_format(ts, "yyyy-MM-dd").alias("transaction_date"),
         _iso(ts).alias("transaction_timestamp"),
         _iso(F.col(event_time)).alias("event_time"),

@@ -88,3 +88,11 @@ def test_producer_round_trip(spark):
     assert m["description"] == "Shop - Groceries" and m["transaction_timestamp"] == "2023-12-31T23:30:00"
     back = messages.to_raw(frame).first()
     assert back.transaction_id == "t1" and back.amount == 12.5
+
+
+def test_title_case_matches_python(spark):
+    from finlake.functions.columns import title_case
+    words = ["rent/mortgage", "TfL/Oyster", "health & fitness", "2nd go", "", None, "o'neil", "été/hiver"]
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = [r[0] for r in df.select(title_case("s")).collect()]
+    assert got == [w.title() if w is not None else None for w in words]
