@@ -54,11 +54,11 @@ def run(extract: DataFrame, transforms: Sequence[Callable[[DataFrame], DataFrame
 
     started = time.time()
     ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    if extract.isEmpty():
+    if mode == "replace" and extract.isEmpty():
+        # an empty replace keeps the old table: probe before overwriting
         extracted = loaded = 0
     else:
-        # the observation is attached after the emptiness probe so that only
-        # the write job reports it
+        # one pass: both counts are observed on the single write job
         seen = Observation("extracted")
         df = extract.observe(seen, F.count(F.lit(1)).alias("rows"))
         for fn in transforms:

@@ -25,9 +25,13 @@ def load(df: DataFrame, target: str, mode: str = "append",
          partition_by: Sequence[str] | None = None) -> int:
     """Write ``df`` to ``target`` (Parquet path or catalog table); return rows written.
 
-    * empty input -> 0, nothing is created and a replace keeps the old table
-    * ``mode="append"``: creates the target on first use, else appends by name
-    * ``mode="replace"``: overwrite
+    * ``mode="append"``: creates the target on first use, else appends by name.
+      One pass: rows are counted by an ``Observation`` on the write itself, so
+      the input is never evaluated twice (an emptiness probe over a plan with
+      shuffles would re-run them).  A first load that wrote no rows removes
+      the table it just created: empty input leaves no table behind.
+    * ``mode="replace"``: overwrite.  Only here the input is probed first
+      (``check_empty``): an empty replace keeps the old table intact.
     * ``dedupe_keys``: idempotent append — duplicates inside the batch are
       dropped, and keys already present in the target are anti-joined away
     * ``dedupe_scope``: columns every duplicate shares with its original (e.g.
@@ -38,7 +42,7 @@ def load(df: DataFrame, target: str, mode: str = "append",
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    if check_empty and df.isEmpty():
+    if mode == "replace" and check_empty and df.isEmpty():
         return 0
     spark = df.sparkSession
     exists = table_exists(spark, target)
@@ -59,7 +63,20 @@ def load(df: DataFrame, target: str, mode: str = "append",
         writer.save(target)
     else:
         writer.saveAsTable(target)
-    return int(obs.get.get("rows", 0))
+    rows = int(obs.get.get("rows", 0))
+    if rows == 0 and not exists:
+        drop_table(spark, target)
+    return rows
+
+
+def drop_table(spark, target: str) -> None:
+    """Remove a table this library created (a path folder or a catalog table)."""
+    if not _is_path(target):
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        return
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(target)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
 def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
