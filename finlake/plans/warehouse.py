@@ -97,3 +97,21 @@ def materialise(wh: Warehouse, root: str) -> dict[str, int]:
 
 def read_marts(spark, root: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{root}/{name}") for name in MARTS}
+
+
+def refresh(raw_tx: DataFrame, raw_rates: DataFrame, root: str) -> dict:
+    """Build the marts, then test every model (the reference's run-then-test step).
+
+    Returns the mart row counts and the failing checks (at most one row per
+    declared check is brought back).
+    """
+    from finlake.operators.quality import run_checks
+    from finlake.plans import checks
+
+    wh = build(raw_tx, raw_rates)
+    counts = materialise(wh, root)
+    tables = {name: getattr(wh, name) for name in MODELS if name not in MARTS}
+    tables.update(read_marts(raw_tx.sparkSession, root))
+    results = run_checks(tables, checks.DECLARED, small_parents=checks.SMALL_PARENTS)
+    failing = [r.asDict() for r in results.filter("failures > 0").collect()]
+    return {"counts": counts, "checks_run": checks.count_checks(), "failed_checks": failing}

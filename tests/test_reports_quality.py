@@ -118,3 +118,17 @@ def test_views_answer_dashboard_sql(spark):
                COUNT(DISTINCT merchant) AS unique_merchants
         FROM fact_transactions""").first()
     assert tuple(sql) == tuple(reports.summary_stats(wh.fact_transactions).first())
+
+
+def test_refresh_builds_and_tests(spark, tmp_path):
+    from finlake.plans import warehouse
+    from finlake.sources import standins as S
+    sf = "/root/testdata/sf0.001"
+    out = warehouse.refresh(S.raw_transactions(spark, sf), S.raw_exchange_rates(spark, sf),
+                            str(tmp_path / "marts"))
+    assert out["checks_run"] == 65 and out["counts"]["dim_dates"] == 2922
+    failed = {(f["table_name"], f["column_name"], f["test_name"]) for f in out["failed_checks"]}
+    # the stand-in feeds are dirty on purpose: null ids, wrong-case types, repeated messages
+    assert ("raw_transactions", "transaction_id", "not_null") in failed
+    assert ("raw_transactions", "transaction_type", "accepted_values") in failed
+    assert ("dim_dates", "date_key", "unique") not in failed
