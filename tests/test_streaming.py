@@ -96,3 +96,28 @@ def test_title_case_matches_python(spark):
     df = spark.createDataFrame([(w,) for w in words], "s string")
     got = [r[0] for r in df.select(title_case("s")).collect()]
     assert got == [w.title() if w is not None else None for w in words]
+
+
+def test_processing_time_consumer_picks_up_new_files(spark, tmp_path):
+    inbox, target = str(tmp_path / "inbox"), str(tmp_path / "raw")
+    _msgs(spark, *[dict(BASE, transaction_id=f"a{i}") for i in range(3)]).write.mode("append").parquet(inbox)
+    q = consumer.start(consumer.file_message_stream(spark, inbox), target, str(tmp_path / "c"),
+                       dedupe_keys=["transaction_id"], available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _msgs(spark, *[dict(BASE, transaction_id=f"b{i}") for i in range(2)]).write.mode("append").parquet(inbox)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(target).count() == 5
+
+
+def test_landing_is_once_per_session(spark):
+    from finlake.sources import landing
+    sf = "/root/testdata/sf0.001"
+    first = landing.land(spark, sf)
+    assert landing.land(spark, sf) == first
+    raw = landing.raw_transactions(spark, sf)
+    assert {r._source for r in raw.select("_source").distinct().collect()} == \
+        {"MockTransactionsIngestion", "KafkaConsumer"}
+    assert landing.rejected_messages(spark, sf).count() > 0
