@@ -67,7 +67,7 @@ def land(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The marts built from the landed raw tables and written once per session
-    (the reference's ``dbt run``); dashboards and checks read these tables."""
+    (the reference's model build); dashboards and checks read these tables."""
     from finlake.plans import warehouse
 
     configure(spark)
