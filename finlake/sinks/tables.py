@@ -74,9 +74,16 @@ def drop_table(spark, target: str) -> None:
     if not _is_path(target):
         spark.sql(f"DROP TABLE IF EXISTS {target}")
         return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(target)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(target)
+        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): local folders only
+        import os
+        import shutil
+        local = target[len("file:"):] if target.startswith("file:") else target
+        if "://" not in local and os.path.isdir(local):
+            shutil.rmtree(local)
 
 
 def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.plans import ingest
-from finlake.session import configure, scratch_dir
+from finlake.session import app_id, configure, scratch_dir
 from finlake.sources import standins as S
 from finlake.sources.tables import table_exists
 from finlake.streaming import consumer
@@ -35,7 +35,7 @@ _MARTS: dict[tuple[str, str], str] = {}
 def land(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Paths of the landed raw tables for ``sf_dir`` (created on first use)."""
     configure(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         paths = _LANDED.get(key)
         if paths and all(table_exists(spark, p) for p in paths.values()):
@@ -71,7 +71,7 @@ def marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from finlake.plans import warehouse
 
     configure(spark)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (app_id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         root = _MARTS.get(key)
         if root is None or not all(table_exists(spark, f"{root}/{m}") for m in warehouse.MARTS):

@@ -25,10 +25,18 @@ def table_exists(spark: SparkSession, target: str) -> bool:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence of a folder on any Hadoop-compatible file system (local, HDFS, object store)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): probe by reading
+        from pyspark.errors import AnalysisException
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except AnalysisException:
+            return False
 
 
 def row_count(spark: SparkSession, target: str) -> int:
