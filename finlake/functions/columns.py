@@ -42,9 +42,24 @@ def date_parts(d: str | Column = "transaction_date") -> dict[str, Column]:
     }
 
 
+def round_half_away(x: str | Column, digits: int) -> Column:
+    """Round a DOUBLE the way the reference engine does: ``x * 10^d`` rounded
+    half away from zero, then divided back.  ``F.round(x, d)`` instead rounds
+    the shortest decimal spelling of ``x``: 320783.72499999998 (the double of
+    384940.47 / 1.2) would become .73 there and is .72 here."""
+    m = F.lit(float(10 ** digits))
+    return F.round(col_(x) * m, 0) / m
+
+
+def round_half_even(x: str | Column, digits: int) -> Column:
+    """Round a DOUBLE as pandas / numpy do: ``rint(x * 10^d) / 10^d``."""
+    m = F.lit(float(10 ** digits))
+    return F.bround(col_(x) * m, 0) / m
+
+
 def inverse_rate(rate: str | Column = "rate") -> Column:
     """1 / rate on the unrounded rate, half-even to 6 places; 0 or null -> null."""
-    return F.bround(F.try_divide(F.lit(1.0), col_(rate)), 6)
+    return round_half_even(F.try_divide(F.lit(1.0), col_(rate)), 6)
 
 
 def money(x: str | Column, sign: str | Column = "") -> Column:

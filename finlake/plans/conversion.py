@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from finlake.functions import columns as C
 from finlake.operators.asof import DEFAULT_MAX_BROADCAST_ROWS, asof_join
 from finlake.operators.dedup import first_per_key
 
@@ -47,7 +48,7 @@ def int_transactions_with_gbp(stg_tx: DataFrame, stg_rates: DataFrame,
 
     def gbp(c: str):
         own = F.col(c).cast("double")
-        return F.when(is_gbp, own).when(has_rate, F.round(own / rate, 2)).otherwise(own)
+        return F.when(is_gbp, own).when(has_rate, C.round_half_away(own / rate, 2)).otherwise(own)
 
     return j.select(
         *[c for c in stg_tx.columns],

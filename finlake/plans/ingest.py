@@ -41,7 +41,7 @@ def rates_transform(df: DataFrame, ingested_at: dt.datetime,
     """PRJ1 + PRJ4: inverse of the unrounded rate, both rounded half-even to 6."""
     out = stamp(df, ingested_at, source).withColumns({
         "inverse_rate": C.inverse_rate("rate"),
-        "rate": F.bround(F.col("rate"), 6),
+        "rate": C.round_half_even("rate", 6),
     })
     return out.select(*RAW_EXCHANGE_RATE_COLUMNS)
 

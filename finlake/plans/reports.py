@@ -29,7 +29,7 @@ def _debits(fact: DataFrame) -> DataFrame:
 
 
 def _pennies(c) -> F.Column:
-    return F.round(c, 2)
+    return C.round_half_away(c, 2)
 
 
 def wide_transactions(fact: DataFrame, dim_accounts: DataFrame, dim_categories: DataFrame,
@@ -179,5 +179,5 @@ def day_of_week_spend(fact: DataFrame, dim_dates: DataFrame) -> DataFrame:
 def category_distribution(raw_tx: DataFrame) -> DataFrame:
     """RPT9: per raw category: count and average amount, most frequent first."""
     return (raw_tx.groupBy("category")
-            .agg(F.count(F.lit(1)).alias("count"), F.round(F.avg("amount"), 2).alias("avg_amount"))
+            .agg(F.count(F.lit(1)).alias("count"), C.round_half_away(F.avg("amount"), 2).alias("avg_amount"))
             .orderBy(F.col("count").desc(), F.col("category").asc_nulls_last()))

@@ -82,3 +82,19 @@ def test_dim_categories_mapping_and_order(spark):
                    (2, "Groceries", "Essential", "Essential", 5),
                    (3, "Transport", "Transport", "Semi-Essential", 6),
                    (4, "groceries", "Other", "Discretionary", 9)]
+
+
+def test_rounding_matches_reference_engine_and_pandas(spark):
+    import duckdb
+    import numpy as np
+    from finlake.functions.columns import round_half_away, round_half_even
+    vals = [384940.47 / 1.2, -384940.47 / 1.2, 2.675, 1.005, 0.125, -0.125, 1234.565, 1 / 1.2170000000000001]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [(r.a, r.e) for r in df.select(round_half_away("x", 2).alias("a"),
+                                         round_half_even("x", 6).alias("e")).collect()]
+    con = duckdb.connect()
+    want_a = [con.execute("select round(?::DOUBLE, 2)", [v]).fetchone()[0] for v in vals]
+    want_e = [float(np.round(v, 6)) for v in vals]
+    assert [a for a, _ in got] == want_a
+    assert [e for _, e in got] == want_e
+    assert got[0][0] == 320783.72   # the double sits just below the decimal tie
