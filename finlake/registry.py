@@ -214,7 +214,8 @@ def q_stream_rejects(spark, sf):
 
 def q_stream_ingest(spark, sf):
     """Available-now consumer with exact de-duplication, run twice over the same
-    inbox (the second run replays every message); the target is read back."""
+    inbox (the second run replays every message); the target is partitioned by
+    transaction year / month and read back."""
     configure(spark)
     root = scratch_dir(spark, "stream_ingest")
     inbox = f"{root}/inbox"
@@ -223,7 +224,8 @@ def q_stream_ingest(spark, sf):
     for run in (1, 2):
         consumer.drain(consumer.file_message_stream(spark, inbox), target,
                        f"{root}/checkpoint-{run}", dead_letter_target=f"{root}/dead_letter",
-                       dedupe_keys=["transaction_id"])
+                       dedupe_keys=["transaction_id"],
+                       partition_by=["transaction_year", "transaction_month"])
     return present(spark.read.parquet(target).drop("_ingested_at"))
 
 

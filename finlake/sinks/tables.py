@@ -104,11 +104,39 @@ def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
     if current is not None:
         seen = current.select(*keys, *scope).filter(has_key)
         if scope:
-            seen = seen.join(F.broadcast(keyed.select(*scope).distinct()), scope, "left_semi")
+            # scope values straight from the input (a narrow scan of the scope
+            # columns; the de-duplication does not change the set of months)
+            seen = _restrict_to_scope(seen, df.filter(has_key), scope)
         keyed = keyed.join(seen.select(*keys, *scope), [*keys, *scope] if scope else keys, "left_anti")
     return keyed.unionByName(df.filter(~has_key))
 
 
+MAX_SCOPE_LITERALS = 1000
+
+
+def _restrict_to_scope(seen: DataFrame, batch: DataFrame, scope: list[str]) -> DataFrame:
+    """Target rows whose scope values occur in the batch.
+
+    The batch's distinct scope values (calendar months: a handful per batch,
+    bounded by the calendar) become a literal filter, which Spark turns into
+    partition pruning when the target is partitioned by the scope columns.
+    Beyond ``MAX_SCOPE_LITERALS`` values a broadcast semi join is used.
+    """
+    values = batch.select(*scope).distinct().limit(MAX_SCOPE_LITERALS + 1).collect()
+    if len(values) > MAX_SCOPE_LITERALS:
+        return seen.join(F.broadcast(batch.select(*scope).distinct()), scope, "left_semi")
+    if not values:
+        return seen.limit(0)
+    cond = None
+    for row in values:
+        term = None
+        for c in scope:
+            t = F.col(c).isNull() if row[c] is None else (F.col(c) == F.lit(row[c]))
+            term = t if term is None else term & t
+        cond = term if cond is None else cond | term
+    return seen.filter(cond)
+
+
 def _partition_columns(current: DataFrame, target: str) -> list[str]:
     """Partition columns of an existing Parquet target (from its folder layout)."""
     if not _is_path(target):

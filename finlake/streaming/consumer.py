@@ -50,7 +50,8 @@ DEDUPE_SCOPE = ["transaction_year", "transaction_month"]
 def write_batch(batch: DataFrame, raw_target: str, dead_letter_target: str | None,
                 dedupe_keys: Sequence[str] | None = None,
                 ingested_at: Column | None = None,
-                dedupe_scope: Sequence[str] | None = DEDUPE_SCOPE) -> dict[str, int]:
+                dedupe_scope: Sequence[str] | None = DEDUPE_SCOPE,
+                partition_by: Sequence[str] | None = None) -> dict[str, int]:
     """One micro-batch: parse, split, append.  Returns rows written per output.
 
     With ``dedupe_keys`` the comparison with the target is limited to the
@@ -61,7 +62,8 @@ def write_batch(batch: DataFrame, raw_target: str, dead_letter_target: str | Non
     try:
         good = messages.valid_rows(parsed)
         written = {"good": sink.load(good, raw_target, mode="append", dedupe_keys=dedupe_keys,
-                                     dedupe_scope=dedupe_scope if dedupe_keys else None)}
+                                     dedupe_scope=dedupe_scope if dedupe_keys else None,
+                                     partition_by=partition_by)}
         if dead_letter_target:
             written["rejected"] = sink.load(messages.rejected_rows(parsed), dead_letter_target,
                                             mode="append")
@@ -73,17 +75,21 @@ def write_batch(batch: DataFrame, raw_target: str, dead_letter_target: str | Non
 def start(stream: DataFrame, raw_target: str, checkpoint: str,
           dead_letter_target: str | None = None, dedupe_keys: Sequence[str] | None = None,
           available_now: bool = True, processing_time: str = "10 seconds",
-          ingested_at: Column | None = None, query_name: str | None = None) -> StreamingQuery:
+          ingested_at: Column | None = None, query_name: str | None = None,
+          partition_by: Sequence[str] | None = None) -> StreamingQuery:
     """Start the consumer.
 
     ``dedupe_keys`` (e.g. ``["transaction_id"]``) makes every append exact
     and idempotent: duplicates inside a batch are dropped and keys already in
     the target are anti-joined away (only the key column of the target is
     read), so neither a repeated message nor a replayed batch is written twice.
+    ``partition_by`` lays out a new raw table, e.g. by transaction year and
+    month, which the scoped anti join then prunes.
     """
 
     def _fn(batch: DataFrame, epoch_id: int) -> None:
-        write_batch(batch, raw_target, dead_letter_target, dedupe_keys, ingested_at)
+        write_batch(batch, raw_target, dead_letter_target, dedupe_keys, ingested_at,
+                    partition_by=partition_by)
 
     writer = stream.writeStream.foreachBatch(_fn).option("checkpointLocation", checkpoint)
     if query_name:
