@@ -3,7 +3,8 @@
 * not_null / accepted_values of one table are evaluated together in a single
   aggregation pass (one scan, partial aggregation, one output row) and then
   unpivoted to one row per check;
-* unique: values occurring more than once (nulls ignored) — a grouped count;
+* unique: values occurring more than once (nulls ignored) — one grouped count
+  per table covering all its unique columns;
 * relationships: non-null child keys without a parent — a left anti join.
 
 Every check returns rows ``(table_name, column_name, test_name, failures)``;
@@ -61,10 +62,36 @@ def single_pass_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> Da
 
 
 def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:
-    dup = (df.filter(F.col(column).isNotNull()).groupBy(column)
-           .agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("_f")).select(
-        _row(table, column, "unique", F.col("_f")).alias("r")).select("r.*")
+    return unique_checks(df, table, [column])
+
+
+def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """All unique checks of one table with a single grouped count.
+
+    Each row emits one (check index, value) pair per checked column — the
+    value in its own typed slot, the other slots null — so one shuffle on
+    (index, slots) counts every column; values seen more than once fail.
+    """
+    columns = list(columns)
+    slots = [f"_u{i}" for i in range(len(columns))]
+    pairs = F.array(*[
+        F.struct(F.lit(i).alias("_idx"),
+                 *[(F.col(c) if j == i else F.lit(None).cast(df.schema[c].dataType)).alias(slots[j])
+                   for j, c in enumerate(columns)])
+        for i in range(len(columns))])
+    exploded = df.select(F.inline(pairs))
+    not_null = F.lit(False)
+    for i in range(len(columns)):
+        not_null = not_null | ((F.col("_idx") == i) & F.col(slots[i]).isNotNull())
+    dup = (exploded.filter(not_null).groupBy("_idx", *slots).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > 1).groupBy("_idx").agg(F.count(F.lit(1)).alias("_f")))
+    names = F.array(*[F.lit(c) for c in columns])
+    all_idx = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("_idx"))
+    return (all_idx.join(dup, "_idx", "left")
+            .select(F.lit(table).alias("table_name"),
+                    F.element_at(names, F.col("_idx") + 1).alias("column_name"),
+                    F.lit("unique").alias("test_name"),
+                    F.coalesce(F.col("_f"), F.lit(0)).cast("bigint").alias("failures")))
 
 
 def relationship_check(child: DataFrame, table: str, column: str,
@@ -90,10 +117,11 @@ def run_checks(tables: dict[str, DataFrame], declared: Sequence[TableChecks],
                                               if c.test in ("not_null", "accepted_values")])
         if sp is not None:
             parts.append(sp)
+        unique_cols = [c.column for c in wanted if c.test == "unique"]
+        if unique_cols:
+            parts.append(unique_checks(df, tc.table, unique_cols))
         for ck in wanted:
-            if ck.test == "unique":
-                parts.append(unique_check(df, tc.table, ck.column))
-            elif ck.test == "relationships":
+            if ck.test == "relationships":
                 parts.append(relationship_check(df, tc.table, ck.column, tables[ck.to], ck.field,
                                                 broadcast_parent=ck.to in small_parents))
     out = parts[0]
