@@ -84,14 +84,12 @@ def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFram
     for i in range(len(columns)):
         not_null = not_null | ((F.col("_idx") == i) & F.col(slots[i]).isNotNull())
     dup = (exploded.filter(not_null).groupBy("_idx", *slots).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > 1).groupBy("_idx").agg(F.count(F.lit(1)).alias("_f")))
-    names = F.array(*[F.lit(c) for c in columns])
-    all_idx = df.sparkSession.range(len(columns)).select(F.col("id").cast("int").alias("_idx"))
-    return (all_idx.join(dup, "_idx", "left")
-            .select(F.lit(table).alias("table_name"),
-                    F.element_at(names, F.col("_idx") + 1).alias("column_name"),
-                    F.lit("unique").alias("test_name"),
-                    F.coalesce(F.col("_f"), F.lit(0)).cast("bigint").alias("failures")))
+           .filter(F.col("_n") > 1))
+    counts = dup.agg(*[F.sum(F.when(F.col("_idx") == i, 1).otherwise(0)).alias(f"_f{i}")
+                       for i in range(len(columns))])
+    rows = [_row(table, c, "unique", F.coalesce(F.col(f"_f{i}"), F.lit(0)))
+            for i, c in enumerate(columns)]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def relationship_check(child: DataFrame, table: str, column: str,
