@@ -55,10 +55,11 @@ def load(df: DataFrame, target: str, mode: str = "append",
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_mode = "overwrite" if mode == "replace" else "append"
     writer = df.write.mode(write_mode).format(fmt)
+    existing_parts = _partition_columns(current, target) if current is not None else []
     if partition_by and (current is None or mode == "replace"):
         writer = writer.partitionBy(*partition_by)
-    elif current is not None and _partition_columns(current, target):
-        writer = writer.partitionBy(*_partition_columns(current, target))
+    elif existing_parts:
+        writer = writer.partitionBy(*existing_parts)
     if _is_path(target):
         writer.save(target)
     else:
