@@ -86,12 +86,3 @@ def title_case(c: str | Column) -> Column:
                          F.upper(F.substring(s, i, 1)))
                    .otherwise(F.lower(F.substring(s, i, 1))))
     return F.when(s.isNull(), F.lit(None)).otherwise(F.array_join(chars, ""))
-
-
-def not_null_flags(*cols: str | Column) -> list[Column]:
-    """(is_null, value) pairs so that struct ordering puts nulls last."""
-    out = []
-    for c in cols:
-        c = col_(c)
-        out += [c.isNull(), c]
-    return out

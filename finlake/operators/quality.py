@@ -61,10 +61,6 @@ def single_pass_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> Da
     return df.agg(*aggs).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def unique_check(df: DataFrame, table: str, column: str) -> DataFrame:
-    return unique_checks(df, table, [column])
-
-
 def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """All unique checks of one table with a single grouped count.
 

@@ -125,3 +125,18 @@ def test_scoped_dedupe_on_partitioned_target(spark, tmp_table):
     assert sorted(r.id for r in out.collect()) == [1, 2, 3, 4]
     import os
     assert os.path.isdir(os.path.join(tmp_table, "y=2024", "m=3"))
+
+
+def test_ingest_transactions_job_and_sample(spark, tmp_path):
+    from finlake.sources import standins as S
+    from finlake.sources.tables import sample
+    extract = S.transactions_extract(spark, "/root/testdata/sf0.001")
+    target = str(tmp_path / "raw")
+    stats = ingest.ingest_transactions(extract, target, dedupe_keys=["transaction_id"], ingested_at=AT)
+    n = extract.count()
+    null_ids = extract.filter("transaction_id is null").count()
+    assert stats["rows_extracted"] == n and stats["rows_loaded"] == n
+    again = ingest.ingest_transactions(extract, target, dedupe_keys=["transaction_id"], ingested_at=AT)
+    assert again["rows_loaded"] == null_ids          # only rows without a key pass the dedupe
+    assert sample(spark, target).count() == 5
+    assert row_count(spark, target) == n + null_ids

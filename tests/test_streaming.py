@@ -121,3 +121,13 @@ def test_landing_is_once_per_session(spark):
     assert {r._source for r in raw.select("_source").distinct().collect()} == \
         {"MockTransactionsIngestion", "KafkaConsumer"}
     assert landing.rejected_messages(spark, sf).count() > 0
+
+
+def test_message_stream_and_publish_to_files(spark, tmp_path):
+    src = messages.to_raw(_msgs(spark, *[dict(BASE, transaction_id=f"p{i}") for i in range(4)]))
+    inbox = str(tmp_path / "inbox")
+    producer.publish(src, inbox)                     # key/value frame written as Parquet
+    target = str(tmp_path / "raw")
+    consumer.drain(consumer.message_stream(spark, inbox), target, str(tmp_path / "c"))
+    back = spark.read.parquet(target)
+    assert sorted(r.transaction_id for r in back.collect()) == [f"p{i}" for i in range(4)]
