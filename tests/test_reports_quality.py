@@ -132,3 +132,19 @@ def test_refresh_builds_and_tests(spark, tmp_path):
     assert ("raw_transactions", "transaction_id", "not_null") in failed
     assert ("raw_transactions", "transaction_type", "accepted_values") in failed
     assert ("dim_dates", "date_key", "unique") not in failed
+
+
+def test_materialise_partitioned_fact(spark, tmp_path):
+    import os
+    from finlake.plans import warehouse
+    from finlake.sources import standins as S
+    sf = "/root/testdata/sf0.001"
+    wh = warehouse.build(S.raw_transactions(spark, sf), S.raw_exchange_rates(spark, sf))
+    root = str(tmp_path / "marts")
+    counts = warehouse.materialise(wh, root, fact_partition_by=["transaction_date"])
+    fact = warehouse.read_marts(spark, root)["fact_transactions"]
+    assert any(d.startswith("transaction_date=") for d in os.listdir(f"{root}/fact_transactions"))
+    one_day = fact.filter("transaction_date = date'2024-01-05'")
+    plan = one_day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(transaction_date" in plan
+    assert one_day.count() <= counts["fact_transactions"]
