@@ -54,8 +54,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (local tests) a private temp folder is set;
-    on a cluster the configured shared location is always used.
+    Only in local mode without one (tests) a private temp folder is set; on a
+    cluster the configured shared location is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -64,7 +64,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
             root = None
     if not root:
-        root = tempfile.mkdtemp(prefix="finlake-ckpt-")
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: configure a folder shared by "
+                               "all executors (HDFS / object store) for staged and landed tables")
+        root = tempfile.mkdtemp(prefix="finlake-ckpt-")  # local mode (tests) only
         try:
             spark.sparkContext.setCheckpointDir(root)
         except Exception:  # noqa: BLE001
