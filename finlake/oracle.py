@@ -288,7 +288,8 @@ def _with(ctes: str, body: str) -> str:
 
 
 def present(sql: str, dates=(), decimals=()) -> str:
-    """Same presentation as the Spark side: DATE -> TIMESTAMP, DECIMAL -> DOUBLE."""
+    """Same presentation as the Spark side: DATE -> TIMESTAMP, DECIMAL (and the
+    nullable integer keys listed with them) -> DOUBLE."""
     repl = [f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates] + \
            [f"CAST({c} AS DOUBLE) AS {c}" for c in decimals]
     if not repl:
@@ -369,7 +370,8 @@ def build() -> dict[str, str]:
     q["dim_categories"] = _with(WAREHOUSE, "SELECT * FROM dim_categories")
     q["fact_transactions"] = present(_with(WAREHOUSE, "SELECT * FROM fact_transactions"),
                                      ("transaction_date", "exchange_rate_date"),
-                                     ("amount", "signed_amount", "exchange_rate_used"))
+                                     ("amount", "signed_amount", "exchange_rate_used",
+                                      "date_key", "account_key", "category_key"))
     q["surrogate_key"] = _with(
         RAW + "," + STAGING.split("stg_exchange_rates AS")[0].rstrip().rstrip(","),
         "SELECT transaction_id, transaction_timestamp, row_number() OVER "

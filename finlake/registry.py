@@ -5,8 +5,9 @@ raw tables the library's ingestion jobs land from them) and runs the whole
 tables through the library's operators.
 
 Presentation for the cross-engine check: DATE columns are shown as
-TIMESTAMP (midnight) and DECIMAL columns as DOUBLE, identically in
-``finlake.oracle``; audit columns holding the current time are left out.
+TIMESTAMP (midnight), DECIMAL columns and the fact's nullable foreign keys as
+DOUBLE, identically in ``finlake.oracle``; audit columns holding the current
+time are left out.
 The library functions themselves keep the reference's types.
 """
 
@@ -30,7 +31,10 @@ from finlake.streaming import consumer, messages, producer
 AUDIT = ("created_at", "updated_at", "_created_at")
 
 
-def present(df: DataFrame) -> DataFrame:
+def present(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
+    """``as_double``: integer columns that can hold nulls (left-join keys) — a
+    client would otherwise get a float column from one engine and a nullable
+    integer column from the other."""
     cols = []
     for f in df.schema.fields:
         if f.name in AUDIT:
@@ -38,12 +42,15 @@ def present(df: DataFrame) -> DataFrame:
         c = F.col(f.name)
         if isinstance(f.dataType, T.DateType):
             c = c.cast("timestamp_ntz")
-        elif isinstance(f.dataType, T.DecimalType):
+        elif isinstance(f.dataType, T.DecimalType) or f.name in as_double:
             c = c.cast("double")
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
+FACT_NULLABLE_KEYS = ("date_key", "account_key", "category_key")
+
+
 def _raw_tx(spark, sf):
     return landing.raw_transactions(spark, sf)
 
@@ -106,7 +113,7 @@ def q_dim_categories(spark, sf):
 
 
 def q_fact_transactions(spark, sf):
-    return present(_wh(spark, sf).fact_transactions)
+    return present(_wh(spark, sf).fact_transactions, FACT_NULLABLE_KEYS)
 
 
 def q_surrogate_key(spark, sf):
