@@ -45,7 +45,8 @@ def fact_transactions(int_tx: DataFrame, dim_accounts: DataFrame, dim_categories
                       dim_dates: DataFrame, with_key: bool = True,
                       num_partitions: int | None = None,
                       account_rows: int | None = None,
-                      category_rows: int | None = None) -> DataFrame:
+                      category_rows: int | None = None,
+                      key_staging: str | None = None) -> DataFrame:
     j = attach_dimension_keys(int_tx, dim_accounts, dim_categories, dim_dates,
                               account_rows, category_rows)
     cols = [
@@ -63,6 +64,6 @@ def fact_transactions(int_tx: DataFrame, dim_accounts: DataFrame, dim_categories
     if with_key:
         fact = sequence_key(fact, [F.col("transaction_timestamp").asc_nulls_last(),
                                    F.col("transaction_id").asc_nulls_last()],
-                            "transaction_key", num_partitions)
+                            "transaction_key", num_partitions, staging=key_staging)
         fact = fact.select("transaction_key", *[c for c in fact.columns if c != "transaction_key"])
     return fact.withColumn("_created_at", F.current_timestamp())

@@ -97,7 +97,8 @@ def materialise(wh: Warehouse, root: str,
     fact = facts.fact_transactions(wh.int_transactions_with_gbp, da, dc, dd,
                                    num_partitions=wh.num_partitions,
                                    account_rows=counts["dim_accounts"],
-                                   category_rows=counts["dim_categories"])
+                                   category_rows=counts["dim_categories"],
+                                   key_staging=f"{root}/_staging/fact_transactions_ranged")
     counts["fact_transactions"] = write_mart(fact, f"{root}/fact_transactions", fact_partition_by)
     return counts
 
