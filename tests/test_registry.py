@@ -66,3 +66,16 @@ def test_plan_has_no_python_or_nested_loops(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("BatchEvalPython", "ArrowEvalPython", "BroadcastNestedLoopJoin", "CartesianProduct"):
         assert bad not in plan, f"{name}: {bad}"
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.oracle_sql()) == set(E.queries())
+
+
+def test_scratch_data_lives_under_the_checkpoint_dir(spark):
+    from finlake.session import checkpoint_root
+    from finlake.sources import landing
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_root(spark) == root.rstrip("/")
+    for path in landing.land(spark, SF).values():
+        assert path.startswith(root.rstrip("/") + "/finlake/")
