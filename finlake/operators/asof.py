@@ -11,7 +11,7 @@ Here the right side is turned into a *validity calendar* instead:
    exactly one candidate per left row, no fan-out and no post-join ranking.
 
 The calendar has (days spanned) x (keys) rows: it grows with the calendar, not
-with the left side.  Its row count is checked; below ``max_broadcast_rows`` it
+with the left side.  Its row count is checked; at most ``max_broadcast_rows`` it
 is broadcast (no shuffle of the big side), above it the join is a shuffle
 equi-join on (key, day) where adaptive execution splits skewed keys.
 """
