@@ -1,11 +1,12 @@
 """Streaming ingest of transaction messages (SNK5, STR5-STR9).
 
 ``readStream`` (Kafka, or a file stream of the same ``key``/``value`` frame)
--> stateless parse (``finlake.streaming.messages``) -> optional de-duplication
--> ``foreachBatch`` that appends good rows to raw.transactions and bad rows to
-a dead-letter table.  Offsets live in the checkpoint, so a restarted query
-resumes where it stopped (at-least-once); with ``dedupe_keys`` the append
-anti-joins against the target and a replayed batch writes nothing twice.
+-> ``foreachBatch``: each micro-batch is parsed statelessly
+(``finlake.streaming.messages``, persisted for the split), good rows are
+appended to raw.transactions (optionally de-duplicated against the target,
+scoped to the batch's months) and bad rows to a dead-letter table.  Offsets
+live in the checkpoint, so a restarted query resumes where it stopped
+(at-least-once); with ``dedupe_keys`` a replayed batch writes nothing twice.
 
 Triggers: ``available_now=True`` drains what is there and stops (the
 reference's bounded run); otherwise a processing-time trigger runs forever.
