@@ -97,6 +97,12 @@ def as_number(col: Column, data_type: str) -> Column:
     return col.cast("double")
 
 
+def _cell(value: Column, splits: list[float]) -> Column:
+    """How many split points lie below the value; 0 for null."""
+    points = F.array(*[F.lit(float(x)) for x in splits]).cast("array<double>")
+    return F.when(value.isNull(), F.lit(0)).otherwise(F.size(F.filter(points, lambda s: s < value)))
+
+
 def hilbert_order(df: DataFrame, dimensions: list[str], bits: int = 6) -> DataFrame:
     """Add ``curve`` (long): the row's place on the curve over ``dimensions``."""
     kinds = dict(df.dtypes)
@@ -104,12 +110,7 @@ def hilbert_order(df: DataFrame, dimensions: list[str], bits: int = 6) -> DataFr
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
     splits = df.select(*[v.alias(k) for k, v in numbers.items()]).agg(
         *[F.percentile_approx(k, share, 10_000).alias(k) for k in numbers]).first()
-    cells = []
-    for k, v in numbers.items():
-        cut = sorted(set(splits[k] or []))
-        cells.append(F.coalesce(F.size(F.filter(
-            F.array(*[F.lit(float(x)) for x in cut]).cast("array<double>"),
-            lambda s, v=v: s < v)), F.lit(0)))
+    cells = [_cell(v, splits[k] or []) for k, v in numbers.items()]
     named = df.select("*", F.array(*cells).alias("_cells"))
     return named.withColumn("curve", hilbert_index(
         [F.col("_cells")[i] for i in range(len(cells))], bits)).drop("_cells")

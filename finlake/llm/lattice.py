@@ -2,16 +2,17 @@
 
 A text's probability is the sum over all ways to cut its words into pieces of a
 public subword vocabulary, computed in log space by a forward recursion over
-each word's bytes.  A word starts with one word-initial piece, goes on with
-inner pieces and ends with a stop, so the probabilities of all words sum to one.
+each word's bytes.  A word starts with one word-initial piece and goes on with
+inner pieces; every piece has one probability to go on and one to end the word, so
+the probabilities of all words sum to one.
 
 The vocabulary and its scores exist already (``piece_bpe_32k.model``).  A score
 is minus a rank, and rank r weighs 1 / (r + 3), the usual law of ranks.  These
 weights are the prior, and ``EM_STEPS`` expectation-maximisation steps (forward-
-backward over every distinct training word, weighted by its count) fit them to
-the training documents.  Every training word is also an arc of its own from the
-word's start to its end: it takes its count less ``DISCOUNT``, and the discounts
-together are the weight of the subword lattice.
+backward over every distinct training word) fit them to the training documents.
+Every training word is also an arc of its own from the word's start to its end: it
+takes its count less ``DISCOUNT``, and the discounts together, one per distinct
+word, are the weight of the subword lattice; so each distinct word counts once there.
 
 Counts are gathered from all training documents: pre-aggregated per task, summed
 by a shuffle on the word.  To score, the ``FREQUENT`` most frequent words (a
@@ -39,8 +40,8 @@ from finlake.llm.common import fold, id_text, stage
 
 MAX_PIECE = 16  # bytes; longer pieces (rules of dashes and the like) are left out
 PRIOR = 2000.0  # tokens that the existing scores count for
-EM_STEPS = 2
-DISCOUNT = 0.75
+EM_STEPS = 3
+DISCOUNT = 0.7
 FREQUENT = 200_000
 END = b"\n"  # cannot be a word
 _FLUSH = 300_000  # distinct words that a task holds before it writes them
@@ -52,7 +53,8 @@ _SLOTS = 20
 class Pieces:
     """The vocabulary: piece bytes, prior weights, lookup by polynomial hash.
 
-    Index 0.. of the inner pieces, then of the word-initial ones, then the stop.
+    Index 0.. of the inner pieces, then of the word-initial ones.  Probabilities
+    have twice that length: going on, then ending the word.
     """
 
     def __init__(self, path: str):
@@ -76,13 +78,14 @@ class Pieces:
         inner.pop(b"", None)
         for byte in range(256):
             inner.setdefault(bytes([byte]), 1 / (size + 3))
-        self.names = [*inner, *first, END]
+        self.names = [*inner, *first]
         self.inner, self.first = len(inner), len(first)
+        self.size = self.inner + self.first
         w = np.array([*inner.values(), *first.values()])
-        # a word has about three inner pieces, then it stops
-        self.prior = np.r_[w[:self.inner] / w[:self.inner].sum() * 0.7, w[self.inner:] / w[self.inner:].sum(), 0.3]
+        self.prior = np.r_[w * 0.7, w * 0.3]  # a word has about three pieces
         self.empty = self.names.index(b"", self.inner)
         self.tables = [self._table(0, self.inner), self._table(self.inner, self.inner + self.first)]
+        self.prior[self.size + self.empty] = 0  # no word is empty
         self.longest = [max(map(len, inner)), max(map(len, first))]
 
     def _table(self, low: int, high: int):
@@ -117,11 +120,12 @@ class Pieces:
         return out
 
     def fit(self, expected: np.ndarray) -> np.ndarray:
-        """Probabilities from expected counts plus the prior."""
-        c = expected + PRIOR * self.prior
-        a, b = self.inner, self.inner + self.first
-        within = c[:a].sum() + c[b:].sum()
-        return np.r_[c[:a] / within, c[a:b] / c[a:b].sum(), c[b:] / within]
+        """Probabilities from expected counts plus the prior: inner pieces sum to
+        one over going on and ending, so do the word-initial ones."""
+        out = (expected + PRIOR * self.prior / self.prior.sum()).reshape(2, self.size)
+        out[:, :self.inner] /= out[:, :self.inner].sum()
+        out[:, self.inner:] /= out[:, self.inner:].sum()
+        return out.ravel()
 
 
 @functools.lru_cache(maxsize=2)
@@ -142,11 +146,12 @@ def _lse(terms: np.ndarray) -> np.ndarray:
 
 
 def _block(vocab: Pieces, log_p: np.ndarray, words: list[bytes]):
-    """Forward pass over words of one length: alpha, the arcs (piece index and log
-    probability by length), log marginal."""
+    """Forward pass over words of one length: alpha, inner arcs by length (index
+    into the probabilities and log probability), initial arcs, log marginal."""
     n, size = len(words), len(words[0])
     x = np.frombuffer(b"".join(words), np.uint8).reshape(n, size).astype(np.uint64)
     padded = np.r_[log_p, -np.inf]  # index -1: no piece
+    ends = lambda a: np.where(a >= 0, a + vocab.size, -1)  # noqa: E731  an arc to the word's end
     alpha = np.full((n, size + 1), -np.inf)
     alpha[:, 0] = log_p[vocab.empty]
     arcs, key = {}, np.zeros((n, size), np.uint64)
@@ -154,13 +159,15 @@ def _block(vocab: Pieces, log_p: np.ndarray, words: list[bytes]):
     for m in range(1, min(size, max(vocab.longest)) + 1):
         key = key[:, :size - m + 1] * _BASE + x[:, m - 1:] + _U(1)
         arcs[m] = vocab.lookup(key, 0)
+        arcs[m][:, -1] = ends(arcs[m][:, -1])
         first[:, m] = vocab.lookup(key[:, 0], 1)
+    first[:, size] = ends(first[:, size])
     start = padded[first]
     logs = {m: padded[a] for m, a in arcs.items()}
     for j in range(1, size + 1):
         terms = [start[:, j]] + [alpha[:, j - m] + logs[m][:, j - m] for m in arcs if m <= j]
         alpha[:, j] = _lse(np.stack(terms, 1))
-    return alpha, arcs, logs, first, start, alpha[:, size] + log_p[-1]
+    return alpha, arcs, logs, first, start, alpha[:, size]
 
 
 def _by_length(words: list[bytes]):
@@ -178,21 +185,23 @@ def _by_length(words: list[bytes]):
 
 def log_marginals(vocab: Pieces, p: np.ndarray, words: list[bytes]) -> np.ndarray:
     """Natural log of each word's probability, summed over all segmentations."""
-    log_p, out = np.log(p), np.empty(len(words))
+    with np.errstate(divide="ignore"):
+        log_p, out = np.log(p), np.empty(len(words))
     for at in _by_length(words):
         out[at] = _block(vocab, log_p, [words[i] for i in at])[-1]
     return out
 
 
 def expected_counts(vocab: Pieces, p: np.ndarray, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-    """Expected uses of every piece (and of the stop) by forward-backward."""
-    log_p, out = np.log(p), np.zeros(len(p))
+    """Expected uses of every piece, going on and ending, by forward-backward."""
+    with np.errstate(divide="ignore"):
+        log_p, out = np.log(p), np.zeros(len(p))
     for at in _by_length(words):
         c = counts[at].astype(np.float64)
         alpha, arcs, logs, first, start, total = _block(vocab, log_p, [words[i] for i in at])
         n, size = alpha.shape[0], alpha.shape[1] - 1
         beta = np.full((n, size + 1), -np.inf)
-        beta[:, size] = log_p[-1]
+        beta[:, size] = 0
         for i in range(size - 1, -1, -1):
             beta[:, i] = _lse(np.stack([logs[m][:, i] + beta[:, i + m] for m in arcs if i + m <= size], 1))
         for m, a in arcs.items():
@@ -203,7 +212,6 @@ def expected_counts(vocab: Pieces, p: np.ndarray, words: list[bytes], counts: np
         hit = first >= 0
         out += np.bincount(first[hit], weights=share[hit], minlength=len(p))
         out[vocab.empty] += (np.exp(log_p[vocab.empty] + beta[:, 0] - total) * c).sum()
-        out[-1] += c.sum()
     return out
 
 
@@ -234,7 +242,7 @@ def _expect(path: str, p: np.ndarray):
     def run(batches):
         vocab, total = pieces(path), np.zeros(len(p))
         for b in batches:
-            total += expected_counts(vocab, p, b.column("word").to_pylist(), b.column("c").to_numpy())
+            total += expected_counts(vocab, p, b.column("word").to_pylist(), np.ones(len(b)))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["piece", "uses"])
     return run
@@ -333,7 +341,7 @@ def learn(docs: DataFrame, path: str | None = None, em_steps: int = EM_STEPS) ->
                   F.sum(F.when(~end, F.col("c").cast("boolean").cast("long"))).alias("w")).first()
     vocab = pieces(path)
     p = vocab.fit(np.zeros(len(vocab.prior)))
-    train = words.filter(~end & (F.col("c") > 0)).select("word", "c")
+    train = words.filter(~end & (F.col("c") > 0)).select("word")
     for _ in range(em_steps if s["w"] else 0):
         uses = np.zeros(len(p))
         for r in train.mapInArrow(_expect(path, p), "piece int, uses double").groupBy("piece").agg(

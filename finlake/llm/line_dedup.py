@@ -77,7 +77,7 @@ class PerfectHash:
         self.rank = np.cumsum(self.taken) - 1
 
     def _mixed(self, keys, seed):
-        x = (keys ^ self.salt) + seed * _U(0xBF58476D1CE4E5B9)
+        x = (keys ^ self.salt) + np.asarray(seed).reshape(-1) * _U(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> _U(31))) * _U(0x94D049BB133111EB)
         return x ^ (x >> _U(29))
 

@@ -419,10 +419,10 @@ def join_components(docs: DataFrame) -> DataFrame:
 ORACLE = r"""
 WITH RECURSIVE low AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sh AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM low),
+         ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM low),
 tok AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sh),
 common AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS i
            FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),

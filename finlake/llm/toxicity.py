@@ -1,7 +1,8 @@
 """Operator 3: toxicity as cumulative-link ordinal regression.
 
 P(grade > k) = sigmoid(w . x - cut_k) with one weight vector shared by all
-ordered cuts.  x are sparse word features: words hashed to ``2**BITS`` columns,
+ordered cuts.  x are sparse word features: words and their beginnings of
+``STEMS`` letters (inflected forms share them), hashed to ``2**BITS`` columns and
 valued by their share of the text (times 100, square root, so rare strong words
 count without long texts being blurred).  The output is the expected severity
 sum_k P(grade > k) and the most likely grade.
@@ -11,6 +12,9 @@ sample itself: the words that toxic texts use far more often than others form a
 word list, and toxic texts are graded 1..``GRADES`` by how much of the text that
 list makes up (equal-sized classes).  Grade 0: not toxic.
 
+Only columns are used that occur in at least ``MIN_DOCS`` of the sampled texts and
+whose presence in toxic and other texts differs by ``MIN_Z`` standard errors.
+
 Training uses a bounded sample: at most ``max_docs`` labelled documents per
 class, in the order of a hash of the id, fitted by Adam in numpy on the driver.
 Scoring covers every whole text.
@@ -33,7 +37,9 @@ from pyspark.sql import functions as F
 from finlake.llm.common import fold, id_text
 from finlake.llm.words import hash_words, words
 
-BITS = 16
+BITS = 18
+STEMS = (4, 5, 6)
+MIN_DOCS, MIN_Z = 3, 4.0
 GRADES = 3
 _STRIP = b".,;:!?\"'()[]|"
 
@@ -41,7 +47,14 @@ _STRIP = b".,;:!?\"'()[]|"
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Column numbers (ascending) and values of a text."""
     ws = [w.strip(_STRIP) for w in words(text)]
-    counts = Counter(w for w in ws if w)
+    counts: Counter = Counter()
+    for w, k in Counter(ws).items():
+        counts[b"w" + w] += k
+        for n in STEMS:
+            stem = w.decode("utf-8", "surrogatepass")[:n]
+            if len(stem) == n:
+                counts[b"s" + stem.encode("utf-8", "surrogatepass")] += k
+    counts.pop(b"w", None)
     if not counts:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     col = (hash_words(list(counts)) >> np.uint64(64 - BITS)).astype(np.int32)
@@ -66,6 +79,9 @@ def fit(cols: list[np.ndarray], vals: list[np.ndarray], grade: np.ndarray, epoch
         rate: float = 0.05, decay: float = 2e-5) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model; Adam on all rows at once.
     The cuts are a first cut plus positive steps, so they stay in order."""
+    used = telling(cols, grade > 0)
+    vals = [v[used[c]] for c, v in zip(cols, vals)]
+    cols = [c[used[c]] for c in cols]
     row = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
     col = np.concatenate(cols) if cols else np.zeros(0, int)
     val = np.concatenate(vals).astype(np.float64) if vals else np.zeros(0)
@@ -101,6 +117,17 @@ def fit(cols: list[np.ndarray], vals: list[np.ndarray], grade: np.ndarray, epoch
     return OrdinalModel(w.astype(np.float32), np.cumsum(np.r_[free[0], np.exp(free[1:])]))
 
 
+def telling(cols: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
+    """Which columns' document frequencies differ between the two sides beyond chance."""
+    df = np.zeros((2, 1 << BITS))
+    for c, t in zip(cols, toxic):
+        df[int(t), c] += 1
+    n = np.maximum(np.array([[(~toxic).sum()], [toxic.sum()]]), 1)
+    both = (df.sum(0) + 1) / (n.sum() + 2)
+    z = (df[1] / n[1] - df[0] / n[0]) / np.sqrt(both * (1 - both) * (1 / n[0] + 1 / n[1]))
+    return (df.sum(0) >= MIN_DOCS) & (np.abs(z) >= MIN_Z)
+
+
 def grades(cols: list[np.ndarray], vals: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """0 for other texts, 1..GRADES for toxic ones by the share of listed words."""
     df = np.zeros((2, 1 << BITS))
@@ -125,7 +152,7 @@ def _sparse(batches):
              pa.array([v.tobytes() for _, v in got], pa.binary())], names=["_h", "toxic", "cols", "vals"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000) -> OrdinalModel | None:
+def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> OrdinalModel | None:
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     known = known.withColumn("_h", F.xxhash64("doc_id"))
@@ -143,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 3000) -> OrdinalMo
     return fit(cols, vals, grades(cols, vals, toxic))
 
 
-def _score(model: OrdinalModel | None):
+def _score(model: OrdinalModel | None, flag: float):
     def run(batches):
         for b in batches:
             texts = b.column("text").to_pylist()
@@ -158,15 +185,15 @@ def _score(model: OrdinalModel | None):
             p = np.c_[np.ones(len(z)), up] - np.c_[up, np.zeros(len(z))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array(up.sum(1)), pa.array(p.argmax(1).astype(np.int32)),
-                 pa.array(up[:, 0]), pa.array(up[:, 0] >= 0.5)],
+                 pa.array(up[:, 0]), pa.array(up[:, 0] >= flag)],
                 names=["doc_id", "severity", "grade", "p_toxic", "toxic"])
     return run
 
 
-def score(docs: DataFrame, model: OrdinalModel | None) -> DataFrame:
-    """doc_id, severity (expected grade), grade (most likely), p_toxic, toxic."""
+def score(docs: DataFrame, model: OrdinalModel | None, flag: float = 0.7) -> DataFrame:
+    """doc_id, severity (expected grade), grade (most likely), p_toxic, toxic (p_toxic at least ``flag``)."""
     return id_text(docs).mapInArrow(
-        _score(model), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
+        _score(model, flag), "doc_id long, severity double, grade int, p_toxic double, toxic boolean")
 
 
 def held_in(labels: DataFrame) -> DataFrame:
