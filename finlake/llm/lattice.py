@@ -42,7 +42,7 @@ MAX_PIECE = 16  # bytes; longer pieces (rules of dashes and the like) are left o
 PRIOR = 2000.0  # tokens that the existing scores count for
 EM_STEPS = 3
 DISCOUNT = 0.7
-FREQUENT = 200_000
+FREQUENT = 100_000
 END = b"\n"  # cannot be a word
 _FLUSH = 300_000  # distinct words that a task holds before it writes them
 _U = np.uint64
@@ -112,12 +112,17 @@ class Pieces:
     def lookup(self, keys: np.ndarray, kind: int) -> np.ndarray:
         """Piece index of each hashed substring, -1 for none."""
         low, own, tables = self.tables[kind]
-        out = np.full(keys.shape, -1, np.int64)
+        flat = keys.ravel()
+        out = np.full(len(flat), -1, np.int64)
+        left = np.arange(len(flat))
         for m, slot in tables:
-            got = slot[(keys * m) >> _U(64 - _SLOTS)]
-            hit = (got >= 0) & (own[got] == keys)
-            out[hit] = got[hit] + low
-        return out
+            got = slot[(flat[left] * m) >> _U(64 - _SLOTS)]
+            taken = np.flatnonzero(got >= 0)
+            left, got = left[taken], got[taken]
+            same = own[got] == flat[left]
+            out[left[same]] = got[same] + low
+            left = left[~same]  # its slot holds another piece: the next table may have it
+        return out.reshape(keys.shape)
 
     def fit(self, expected: np.ndarray) -> np.ndarray:
         """Probabilities from expected counts plus the prior: inner pieces sum to
@@ -238,10 +243,22 @@ def _count_words(batches):
     yield emit()
 
 
+def _gathered(batches, rows: int = 50_000, size: int = 8 << 20):
+    """Join small batches: the recursion runs over many words of one length at once."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(map(len, held)) >= rows or sum(x.nbytes for x in held) >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+    if sum(map(len, held)):
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def _expect(path: str, p: np.ndarray):
     def run(batches):
         vocab, total = pieces(path), np.zeros(len(p))
-        for b in batches:
+        for b in _gathered(batches):
             total += expected_counts(vocab, p, b.column("word").to_pylist(), np.ones(len(b)))
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["piece", "uses"])
@@ -276,7 +293,7 @@ class Model:
 
 def _word_scores(model: Model):
     def run(batches):
-        for b in batches:
+        for b in _gathered(batches):
             words, c = b.column("word").to_pylist(), b.column("c").to_numpy()
             if len(words):
                 yield pa.RecordBatch.from_arrays(
@@ -351,15 +368,28 @@ def learn(docs: DataFrame, path: str | None = None, em_steps: int = EM_STEPS) ->
     return Model(path, p, s["n"] or 0, s["v"] or 0, s["e"] or 0, s["w"] or 0), words.filter(~end)
 
 
+def _frequent_from(words: DataFrame, frequent: int) -> int:
+    """The smallest count from which on at most ``frequent`` words are counted, by
+    a histogram of counts in eighths of a power of two."""
+    step = F.floor(F.log2(F.col("c") + F.col("other")) * 8)
+    seen, least = 0, 1 << 62
+    for r in words.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("n"), F.min(
+            F.col("c") + F.col("other")).alias("low")).orderBy(F.col("s").desc()).collect():  # 512 rows at most
+        seen += r["n"]
+        if seen > frequent:
+            break
+        least = r["low"]
+    return least
+
+
 def score(docs: DataFrame, model: Model, words: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """Score rows (doc_id, text, held_out): one row each."""
+    least = _frequent_from(words, frequent)
     total = F.col("c") + F.col("other")
-    top = words.orderBy(total.desc(), "word").limit(frequent).collect()
-    names = [bytes(r["word"]) for r in top]
-    c = np.array([r["c"] for r in top], np.int64)
+    top = words.filter(total >= least).select("word", "c").toArrow()  # at most ``frequent`` rows
+    names, c = top.column("word").to_pylist(), top.column("c").to_numpy()
     known = {w: (bool(k), float(x), float(y)) for w, k, x, y in
              zip(names, c, model.base(c), model.tokens(names, c))}
-    least = top[-1]["c"] + top[-1]["other"] if len(top) == frequent else 0
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model, known))  # bounded by ``frequent``
 
@@ -367,7 +397,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, frequent: int = FREQU
         return _score_task(*shared.value)(batches)
 
     parts = docs.select("doc_id", "text", "held_out").mapInArrow(task, _PART)
-    table = words.filter(total <= least).select("word", "c").mapInArrow(
+    table = words.filter(total < least).select("word", "c").mapInArrow(
         _word_scores(model), "word binary, c long, base double, score double")
     table = table.select("word", (F.col("c") > 0).cast("long").alias("_k"), F.col("base").alias("_b"),
                          F.col("score").alias("_s"))
