@@ -49,7 +49,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Left outer as-of join on dates; adds ``values`` + ``right_date`` (renamed by ``rename``).
 
-    Unmatched left rows (null key, or dated before the key's first right row)
+    Unmatched left rows (null key, null date, or dated before the key's first right row)
     get nulls.
     """
     rename = rename or {}
@@ -61,6 +61,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     # size check on the small side; the calendar is bounded by days x keys
     n_cal = cal.count()
     side = F.broadcast(cal) if n_cal <= max_broadcast_rows else cal
-    probe = left.withColumn("_asof_probe", F.least(F.col(left_date).cast("date"), horizon))
+    probe = left.withColumn("_asof_probe", F.when(
+        F.col(left_date).isNotNull(), F.least(F.col(left_date).cast("date"), horizon)))
     cond = (probe[left_key] == side["_asof_key"]) & (probe["_asof_probe"] == side["_asof_day"])
     return probe.join(side, cond, "left").drop("_asof_key", "_asof_day", "_asof_probe")

@@ -43,12 +43,13 @@ def int_transactions_with_gbp(stg_tx: DataFrame, stg_rates: DataFrame,
                               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     j = latest_rates(stg_tx, stg_rates, max_broadcast_rows)
     is_gbp = F.col("currency") == F.lit(BASE)
-    has_rate = F.col("_rate").isNotNull() & ~is_gbp
     rate = F.col("_rate").cast("double")
+    # a rate below half a millionth is stored as 0.000000: the own amount stays
+    has_rate = F.col("_rate").isNotNull() & (rate != 0) & ~is_gbp
 
     def gbp(c: str):
         own = F.col(c).cast("double")
-        return F.when(is_gbp, own).when(has_rate, C.round_half_away(own / rate, 2)).otherwise(own)
+        return F.when(is_gbp, own).when(has_rate, C.round_half_away(F.try_divide(own, rate), 2)).otherwise(own)
 
     return j.select(
         *[c for c in stg_tx.columns],

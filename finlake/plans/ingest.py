@@ -54,9 +54,12 @@ def run(extract: DataFrame, transforms: Sequence[Callable[[DataFrame], DataFrame
 
     started = time.time()
     ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    if mode == "replace" and extract.isEmpty():
-        # an empty replace keeps the old table: probe before overwriting
-        extracted = loaded = 0
+    probe = extract
+    for fn in transforms if mode == "replace" else ():
+        probe = probe.transform(fn)
+    if mode == "replace" and probe.isEmpty():
+        # a replace without transformed rows keeps the old table: probe before overwriting
+        extracted, loaded = extract.count(), 0
     else:
         # one pass: both counts are observed on the single write job
         seen = Observation("extracted")

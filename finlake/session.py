@@ -7,7 +7,6 @@ coalescing, skew-join splitting) are on.  Nothing here starts a UI or server.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,9 +84,6 @@ def app_id(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique sub-folder of the shared checkpoint root."""
+    """A fresh, unique sub-folder name under the shared checkpoint root (writers create it)."""
     root = checkpoint_root(spark)
-    path = f"{root}/finlake/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{root}/finlake/{name}-{uuid.uuid4().hex[:12]}"

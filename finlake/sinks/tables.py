@@ -8,10 +8,13 @@ Row counts come from an ``Observation`` on the write itself.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from finlake.operators.dedup import first_per_key
 from finlake.sources.tables import _is_path, read_table, table_exists
 
 
@@ -92,8 +95,9 @@ def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
     """Drop in-batch duplicates and keys already in ``current``.
 
     Rows with a null key cannot be matched and pass through unchanged.
-    ``dropDuplicates`` is an aggregation with map-side combine, so a hot key
-    is collapsed before the shuffle; the anti join reads only the key (and
+    Of several rows with one key the smallest payload stays, so a replay keeps
+    the same row; the aggregation combines on the map side, so a hot key is
+    collapsed before the shuffle; the anti join reads only the key (and
     scope) columns of the target, restricted to the batch's scope values
     (a broadcast semi join: the distinct scope values of one batch are a
     handful of calendar months).
@@ -101,14 +105,18 @@ def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
-    keyed = df.filter(has_key).dropDuplicates(keys)
+    keyed = first_per_key(df.filter(has_key), keys, [], [c for c in df.columns if c not in keys]) \
+        .select(*df.columns)
     if current is not None:
         seen = current.select(*keys, *scope).filter(has_key)
         if scope:
             # scope values straight from the input (a narrow scan of the scope
             # columns; the de-duplication does not change the set of months)
             seen = _restrict_to_scope(seen, df.filter(has_key), scope)
-        keyed = keyed.join(seen.select(*keys, *scope), [*keys, *scope] if scope else keys, "left_anti")
+        same = [F.col(f"new.{c}") == F.col(f"old.{c}") for c in keys]
+        same += [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in scope]
+        keyed = keyed.alias("new").join(seen.select(*keys, *scope).alias("old"),
+                                        reduce(and_, same), "left_anti")
     return keyed.unionByName(df.filter(~has_key))
 
 

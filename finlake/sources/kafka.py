@@ -11,21 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def kafka_stream(spark: SparkSession, bootstrap_servers: str = "localhost:9092",
+def kafka_stream(spark: SparkSession, bootstrap_servers: str,
                  topic: str = "transactions", starting_offsets: str = "earliest",
-                 max_offsets_per_trigger: int | None = None, **_) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None,
+                 fail_on_data_loss: bool = True) -> DataFrame:
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets)
-              .option("failOnDataLoss", "false"))
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return reader.load().select(F.col("key").cast("string").alias("key"),
                                 F.col("value").cast("string").alias("value"))
 
 
-def kafka_write(frame: DataFrame, bootstrap_servers: str = "localhost:9092",
+def kafka_write(frame: DataFrame, bootstrap_servers: str,
                 topic: str = "transactions") -> None:
     """Publish a key/value frame (acks=all, retries as the reference producer)."""
     (frame.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value")

@@ -45,19 +45,16 @@ def message_stream(spark: SparkSession, source: str = "kafka", **opts) -> DataFr
                                opts.get("fmt", "parquet"))
 
 
-DEDUPE_SCOPE = ["transaction_year", "transaction_month"]
-
-
 def write_batch(batch: DataFrame, raw_target: str, dead_letter_target: str | None,
                 dedupe_keys: Sequence[str] | None = None,
                 ingested_at: Column | None = None,
-                dedupe_scope: Sequence[str] | None = DEDUPE_SCOPE,
+                dedupe_scope: Sequence[str] | None = None,
                 partition_by: Sequence[str] | None = None) -> dict[str, int]:
     """One micro-batch: parse, split, append.  Returns rows written per output.
 
-    With ``dedupe_keys`` the comparison with the target is limited to the
-    batch's ``dedupe_scope`` values (a message and its repeat carry the same
-    transaction date, hence the same year / month).
+    ``dedupe_keys`` are compared with every key of the target.  ``dedupe_scope``
+    (off by default) limits that to the batch's values of the named columns; it
+    is only right where a key never changes them.
     """
     parsed = messages.parse(batch, ingested_at=ingested_at).persist()
     try:
@@ -85,7 +82,7 @@ def start(stream: DataFrame, raw_target: str, checkpoint: str,
     the target are anti-joined away (only the key column of the target is
     read), so neither a repeated message nor a replayed batch is written twice.
     ``partition_by`` lays out a new raw table, e.g. by transaction year and
-    month, which the scoped anti join then prunes.
+    month.
     """
 
     def _fn(batch: DataFrame, epoch_id: int) -> None:

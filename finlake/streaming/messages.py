@@ -27,6 +27,11 @@ REQUIRED = ["transaction_id", "account_id", "amount", "transaction_timestamp"]
 REASON = "_reject_reason"
 
 
+# ISO 8601 as the message contract has it: full date, optional time and offset.
+ISO_TIMESTAMP = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?"
+                 r"(Z|[+-]\d{2}:\d{2})?)?$")
+
+
 def parse(msgs: DataFrame, value_col: str = "value",
           ingested_at: Column | None = None) -> DataFrame:
     """All raw.transactions columns plus ``_reject_reason`` (null for good rows),
@@ -45,7 +50,7 @@ def parse(msgs: DataFrame, value_col: str = "value",
         return F.col(f"_m.{k}")
 
     ts_text = F.col("_m.transaction_timestamp")
-    ts = ts_text.try_cast("timestamp")
+    ts = F.when(ts_text.rlike(ISO_TIMESTAMP), ts_text).try_cast("timestamp")
     day = F.substring(ts_text, 1, 10).try_cast("date")
     missing = None
     for k in REQUIRED:

@@ -133,3 +133,16 @@ def test_asof_hot_key_shuffle_path(spark):
                     values=["rate"], max_broadcast_rows=0)
     got = {r.id: r.rate for r in out.collect()}
     assert len(got) == 900 and all(got[f"h{i}"] == 1.25 for i in range(300))
+
+
+def test_asof_null_date_matches_nothing_on_either_join_path(spark):
+    import datetime as dt
+
+    from finlake.operators.asof import asof_join
+    left = spark.createDataFrame([("a", "USD", None), ("b", "USD", dt.date(2024, 2, 1))],
+                                 "id string, ccy string, d date")
+    right = spark.createDataFrame([("USD", dt.date(2024, 1, 1), 2.0)], "ccy string, d date, rate double")
+    for bound in (2_000_000, 0):
+        got = asof_join(left, right, left_key="ccy", right_key="ccy", left_date="d", right_date="d",
+                        values=["rate"], rename={"d": "rate_date"}, max_broadcast_rows=bound)
+        assert {r.id: r.rate for r in got.collect()} == {"a": None, "b": 2.0}

@@ -140,3 +140,20 @@ def test_ingest_transactions_job_and_sample(spark, tmp_path):
     assert again["rows_loaded"] == null_ids          # only rows without a key pass the dedupe
     assert sample(spark, target).count() == 5
     assert row_count(spark, target) == n + null_ids
+
+
+def test_replace_emptied_by_a_transform_keeps_the_table(spark, tmp_table):
+    assert sink.load(_frame(spark), tmp_table) == 3
+    stats = ingest.run(_frame(spark), [lambda d: d.filter("false")], tmp_table, mode="replace")
+    assert stats["rows_loaded"] == 0 and stats["rows_extracted"] == 3
+    assert row_count(spark, tmp_table) == 3
+
+
+def test_one_id_in_two_months_is_one_row_in_any_split(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (2, 1, "z")], "id bigint, month int, v string")
+    whole, split = str(tmp_path / "whole"), str(tmp_path / "split")
+    sink.load(rows, whole, dedupe_keys=["id"])
+    for m in (1, 2):
+        sink.load(rows.filter(f"month = {m}"), split, dedupe_keys=["id"])
+    read = lambda p: sorted(map(tuple, spark.read.parquet(p).collect()))
+    assert read(whole) == read(split) == [(1, 1, "x"), (2, 1, "z")]

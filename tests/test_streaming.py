@@ -131,3 +131,15 @@ def test_message_stream_and_publish_to_files(spark, tmp_path):
     consumer.drain(consumer.message_stream(spark, inbox), target, str(tmp_path / "c"))
     back = spark.read.parquet(target)
     assert sorted(r.transaction_id for r in back.collect()) == [f"p{i}" for i in range(4)]
+
+
+def test_timestamps_must_be_full_iso(spark):
+    from finlake.streaming import messages
+    bad = ["2024", "2024-01", "2024-1-5", "2024-01-05 10:00:00 UTC"]
+    good = ["2024-01-05T10:00:00", "2024-01-05T10:00:00.123456+00:00", "2024-01-05"]
+    rows = [(t, '{"transaction_id":"t","account_id":"a","amount":1.0,"transaction_type":"debit",'
+                f'"category":"c","merchant":"m","transaction_timestamp":"{t}"}}') for t in bad + good]
+    parsed = messages.parse(spark.createDataFrame(rows, "key string, value string"))
+    got = {r.key: r._reject_reason for r in parsed.select("key", "_reject_reason").collect()}
+    assert all(got[t] == "invalid_timestamp" for t in bad)
+    assert not any(got[t] == "invalid_timestamp" for t in good)
