@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import id_text
+from finlake.llm.common import id_text, stage
 from finlake.llm.tokens import default_vocabulary, tokenizer
 
 BLOCK_BITS = 10
@@ -40,8 +40,9 @@ def token_lengths(docs: DataFrame, vocabulary: str | None = None, extra: int = 1
 
 
 def histogram(lengths: DataFrame) -> DataFrame:
-    return lengths.groupBy(F.col("n_tokens").alias("length")).agg(
-        F.count(F.lit(1)).alias("n_docs"))
+    """length, n_docs; staged, so texts are tokenized once."""
+    return stage(lengths.groupBy(F.col("n_tokens").alias("length")).agg(
+        F.count(F.lit(1)).alias("n_docs")), "lengths")
 
 
 def limits_report(hist: DataFrame) -> DataFrame:
