@@ -27,7 +27,9 @@ are not read.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,28 +43,37 @@ BITS = 18
 STEMS = (4, 5, 6)
 MIN_DOCS, MIN_Z = 3, 4.0
 GRADES = 3
+_WORDS = 300_000
 _STRIP = b".,;:!?\"'()[]|"
 
 
 def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Column numbers (ascending) and values of a text."""
-    ws = [w.strip(_STRIP) for w in words(text)]
+    ws = words(text)
     counts: Counter = Counter()
     for w, k in Counter(ws).items():
-        counts[b"w" + w] += k
-        for n in STEMS:
-            stem = w.decode("utf-8", "surrogatepass")[:n]
-            if len(stem) == n:
-                counts[b"s" + stem.encode("utf-8", "surrogatepass")] += k
-    counts.pop(b"w", None)
+        for name in _names(w):
+            counts[name] += k
     if not counts:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    col = (hash_words(list(counts)) >> np.uint64(64 - BITS)).astype(np.int32)
-    share = np.bincount(col, weights=np.fromiter(counts.values(), np.float64, len(counts)))
+    share = np.bincount(_columns(list(counts)), weights=np.fromiter(counts.values(), np.float64, len(counts)))
     at = np.flatnonzero(share)
     return at.astype(np.int32), np.sqrt(100 * share[at] / len(ws)).astype(np.float32)
 
 
+def _names(word: bytes) -> list[bytes]:
+    """Feature names of a word: the word itself and its beginnings."""
+    word = word.strip(_STRIP)
+    if not word:
+        return []
+    letters = word.decode("utf-8", "surrogatepass")
+    return [b"w" + word, *(b"s" + letters[:n].encode("utf-8", "surrogatepass") for n in STEMS if len(letters) >= n)]
+
+
+def _columns(names: list[bytes]) -> np.ndarray:
+    return (hash_words(names) >> np.uint64(64 - BITS)).astype(np.int32)
+
+
 class OrdinalModel:
     def __init__(self, weights: np.ndarray, cuts: np.ndarray):
         self.weights, self.cuts = weights, cuts
@@ -161,7 +172,8 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> OrdinalMo
         part = known.filter(F.col("toxic") == t).orderBy("_h", "doc_id").limit(max_docs)
         picked = part if picked is None else picked.unionByName(part)
     rows = id_text(docs).join(F.broadcast(picked), "doc_id").select("_h", "toxic", "text").mapInArrow(
-        _sparse, "_h long, toxic int, cols binary, vals binary").orderBy("_h", "cols").collect()
+        _sparse, "_h long, toxic int, cols binary, vals binary").collect()  # the sample
+    rows.sort(key=lambda r: (r["_h"], bytes(r["cols"]), bytes(r["vals"])))
     if not any(r["toxic"] for r in rows):
         return None
     cols = [np.frombuffer(r["cols"], np.int32) for r in rows]
@@ -170,15 +182,42 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> OrdinalMo
     return fit(cols, vals, grades(cols, vals, toxic))
 
 
+class Scorer:
+    """w . x of whole texts.  Of a word only the columns with a weight are looked at;
+    they are remembered for up to ``_WORDS`` words, then looked up anew."""
+
+    def __init__(self, model: OrdinalModel):
+        self.weights = model.weights.tolist()
+        self.known: dict[bytes, tuple[int, ...]] = {}
+
+    def _learn(self, new: list[bytes]) -> None:
+        names = [_names(w) for w in new]
+        flat = [name for of_word in names for name in of_word]
+        cols = iter(_columns(flat).tolist() if flat else ())
+        for w, of_word in zip(new, names):
+            self.known[w] = tuple(c for c in islice(cols, len(of_word)) if self.weights[c])
+
+    def score(self, text: str | None) -> float:
+        ws = words(text)
+        counts = Counter(ws)
+        if len(self.known) > _WORDS:
+            self.known.clear()
+        self._learn([w for w in counts if w not in self.known])
+        uses: dict[int, int] = {}
+        for w, k in counts.items():
+            for c in self.known[w]:
+                uses[c] = uses.get(c, 0) + k
+        return sum(self.weights[c] * math.sqrt(100 * uses[c] / len(ws)) for c in sorted(uses))
+
+
 def _score(model: OrdinalModel | None, flag: float):
     def run(batches):
+        scorer = Scorer(model) if model is not None else None
         for b in batches:
             texts = b.column("text").to_pylist()
             z = np.zeros(len(texts))
             if model is not None:
-                for i, t in enumerate(texts):
-                    c, v = features(t)
-                    z[i] = float(v @ model.weights[c])
+                z[:] = [scorer.score(t) for t in texts]
                 up = model.above(z)
             else:
                 up = np.zeros((len(texts), 1))
