@@ -227,6 +227,39 @@ def test_lm_scores(odd, empty):
     alone = lattice.score(rows_, model, words, frequent=0).collect()  # every word by the shuffled join
     assert sorted((r.doc_id, round(r.score, 6)) for r in few) == sorted((r.doc_id, round(r.score, 6)) for r in alone)
     assert lattice.score_documents(empty).count() == 0
+    known = Counter(w for d, t in TEXTS if d is not None and d < 30 and not held(d) for w in tokens(t)[:-1])
+    names = sorted({w for _, t in TEXTS for w in tokens(t)[:-1]})
+    share = dict(zip(names, model.tokens(names, np.array([known[w] for w in names])) - model.stay()))
+    want = sorted((d, drawn(tokens(t)[:-1], model, share)) for d, t in TEXTS if d is not None and d < 30)
+    for (d, x), (e, y) in zip(want, sorted((r.doc_id, r.score) for r in alone)):
+        assert d == e and math.isclose(x, y, rel_tol=1e-7)
+
+
+def drawn(ws, model, share):
+    """A document's score by drawing its words one after another, for every urn."""
+    scores = []
+    for a in lattice.ALPHAS:
+        seen, x = Counter(), model.end()
+        for i, w in enumerate(ws):
+            x += model.stay() - math.log10(a + i)
+            x += math.log10(a * 10 ** share[w] + seen[w]) if seen[w] else math.log10(a) + share[w]
+            seen[w] += 1
+        scores.append(x)
+    top = max(scores)
+    return top + math.log10(sum(10 ** (x - top) for x in scores) / len(scores))
+
+
+def test_log_gamma():
+    for y in (1.0, 1.5, 2.0, 30.0, 1e4, 1e9):
+        assert math.isclose(float(lattice.log_gamma(np.array(y))), math.lgamma(y), rel_tol=1e-9, abs_tol=1e-9)
+
+
+def test_remembered_words_score_like_whole_features():
+    model = toxicity.OrdinalModel(np.where(np.arange(1 << toxicity.BITS) % 3 == 0, 0.5, 0).astype(np.float32), np.array([1.0]))
+    scorer = toxicity.Scorer(model)
+    for _, t in TEXTS * 2:
+        cols, vals = toxicity.features(t)
+        assert math.isclose(scorer.score(t), float(vals @ model.weights[cols]), rel_tol=1e-4, abs_tol=1e-4)
 
 
 def test_toxicity(spark, odd, empty):
