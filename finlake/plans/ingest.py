@@ -51,14 +51,16 @@ def run(extract: DataFrame, transforms: Sequence[Callable[[DataFrame], DataFrame
         ingested_at: dt.datetime | None = None) -> dict:
     """Extract -> transform -> load; returns the run statistics of the reference job."""
     from finlake.sinks import tables as sink
+    from finlake.sources.tables import table_exists
 
     started = time.time()
     ingested_at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    careful = mode == "replace" or not table_exists(extract.sparkSession, target)
     probe = extract
-    for fn in transforms if mode == "replace" else ():
+    for fn in transforms if careful else ():
         probe = probe.transform(fn)
-    if mode == "replace" and probe.isEmpty():
-        # a replace without transformed rows keeps the old table: probe before overwriting
+    if careful and probe.isEmpty():
+        # without transformed rows a replace keeps the old table and a first load makes none
         extracted, loaded = extract.count(), 0
     else:
         # one pass: both counts are observed on the single write job

@@ -28,12 +28,12 @@ def load(df: DataFrame, target: str, mode: str = "append",
          partition_by: Sequence[str] | None = None) -> int:
     """Write ``df`` to ``target`` (Parquet path or catalog table); return rows written.
 
-    * ``mode="append"``: creates the target on first use, else appends by name.
-      One pass: rows are counted by an ``Observation`` on the write itself, so
-      the input is never evaluated twice (an emptiness probe over a plan with
-      shuffles would re-run them).  A first load that wrote no rows removes
-      the table it just created: empty input leaves no table behind.
-    * ``mode="replace"``: overwrite.  Only here the input is probed first
+    * ``mode="append"``: creates the target (and the schema of a catalog table) on
+      first use, else appends by name.  Rows are counted by an ``Observation`` on
+      the write itself.  Only a first load is probed (``check_empty``): empty input
+      makes no table, and nothing is ever deleted, since another feed may be
+      writing there.
+    * ``mode="replace"``: overwrite.  The input is probed first
       (``check_empty``): an empty replace keeps the old table intact.
     * ``dedupe_keys``: idempotent append — duplicates inside the batch are
       dropped, and keys already present in the target are anti-joined away
@@ -49,6 +49,11 @@ def load(df: DataFrame, target: str, mode: str = "append",
         return 0
     spark = df.sparkSession
     exists = table_exists(spark, target)
+    if not exists:
+        if mode == "append" and check_empty and df.isEmpty():
+            return 0
+        if not _is_path(target) and "." in target:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {target.rpartition('.')[0]}")
     current = read_table(spark, target) if mode == "append" and exists else None
     if current is not None:
         df = align_to(df, current.schema.fieldNames(), current.schema)
@@ -58,7 +63,7 @@ def load(df: DataFrame, target: str, mode: str = "append",
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     write_mode = "overwrite" if mode == "replace" else "append"
     writer = df.write.mode(write_mode).format(fmt)
-    existing_parts = _partition_columns(current, target) if current is not None else []
+    existing_parts = _partition_columns(spark, target) if current is not None else []
     if partition_by and (current is None or mode == "replace"):
         writer = writer.partitionBy(*partition_by)
     elif existing_parts:
@@ -67,27 +72,7 @@ def load(df: DataFrame, target: str, mode: str = "append",
         writer.save(target)
     else:
         writer.saveAsTable(target)
-    rows = int(obs.get.get("rows", 0))
-    if rows == 0 and not exists:
-        drop_table(spark, target)
-    return rows
-
-
-def drop_table(spark, target: str) -> None:
-    """Remove a table this library created (a path folder or a catalog table)."""
-    if not _is_path(target):
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        return
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(target)
-        hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-    except Exception:  # noqa: BLE001 - no JVM gateway (Spark Connect): local folders only
-        import os
-        import shutil
-        local = target[len("file:"):] if target.startswith("file:") else target
-        if "://" not in local and os.path.isdir(local):
-            shutil.rmtree(local)
+    return int(obs.get.get("rows", 0))
 
 
 def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
@@ -146,15 +131,22 @@ def _restrict_to_scope(seen: DataFrame, batch: DataFrame, scope: list[str]) -> D
     return seen.filter(cond)
 
 
-def _partition_columns(current: DataFrame, target: str) -> list[str]:
-    """Partition columns of an existing Parquet target (from its folder layout)."""
+def _partition_columns(spark, target: str) -> list[str]:
+    """Partition columns of an existing target: from the catalog, or for a path from
+    the first partition folder of each level (no file listing)."""
     if not _is_path(target):
-        return []
-    files = current.inputFiles()[:1]
-    if not files:
-        return []
-    rel = files[0].split(target.rstrip("/").split("://")[-1], 1)[-1]
-    return [part.split("=", 1)[0] for part in rel.strip("/").split("/")[:-1] if "=" in part]
+        return [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names: list[str] = []
+    while folder is not None:
+        entries, folder = fs.listStatusIterator(folder), None
+        while folder is None and entries.hasNext():
+            entry = entries.next()
+            if entry.isDirectory() and "=" in entry.getPath().getName():
+                folder = entry.getPath()
+                names.append(folder.getName().split("=", 1)[0])
+    return names
 
 
 def align_to(df: DataFrame, names: Sequence[str], schema) -> DataFrame:

@@ -3,8 +3,8 @@
 ``readStream`` (Kafka, or a file stream of the same ``key``/``value`` frame)
 -> ``foreachBatch``: each micro-batch is parsed statelessly
 (``finlake.streaming.messages``, persisted for the split), good rows are
-appended to raw.transactions (optionally de-duplicated against the target,
-scoped to the batch's months) and bad rows to a dead-letter table.  Offsets
+appended to raw.transactions (optionally de-duplicated against every key of
+the target) and bad rows to a dead-letter table.  Offsets
 live in the checkpoint, so a restarted query resumes where it stopped
 (at-least-once); with ``dedupe_keys`` a replayed batch writes nothing twice.
 

@@ -13,7 +13,7 @@ def spark():
     from finlake.session import get_session
     ckpt = tempfile.mkdtemp(prefix="finlake-test-ckpt-")
     s = get_session("local[4]", app_name="finlake-tests", shuffle_partitions=4,
-                    extra={"spark.checkpoint.dir": ckpt})
+                    extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": f"{ckpt}/warehouse"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -39,6 +39,24 @@ def test_empty_load_creates_nothing_and_keeps_old_table(spark, tmp_table):
     assert row_count(spark, tmp_table) == 3
 
 
+def test_empty_first_load_leaves_another_feed_alone(spark, tmp_table):
+    feed = spark.range(7).selectExpr("id AS payment", "id % 2 AS odd")
+    sink.load(feed, tmp_table)
+    assert sink.load(feed.filter("payment < 0"), tmp_table) == 0
+    assert row_count(spark, tmp_table) == 7
+
+
+def test_catalog_table_makes_its_schema_and_keeps_its_partitions(spark):
+    feed = spark.range(6).selectExpr("id AS payment", "cast(id % 3 AS int) AS month")
+    try:
+        assert sink.load(feed, "ledger_test.payments", partition_by=["month"]) == 6
+        assert sink.load(feed, "ledger_test.payments") == 6
+        assert row_count(spark, "ledger_test.payments") == 12
+        assert [c.name for c in spark.catalog.listColumns("ledger_test.payments") if c.isPartition] == ["month"]
+    finally:
+        spark.sql("DROP SCHEMA IF EXISTS ledger_test CASCADE")
+
+
 def test_append_is_by_name_with_schema_check(spark, tmp_table):
     sink.load(_frame(spark), tmp_table)
     swapped = _frame(spark, (4, 5, 6)).select("value", "id")
