@@ -5,7 +5,7 @@
   unpivoted to one row per check;
 * unique: values occurring more than once (nulls ignored) — one grouped count
   per table covering all its unique columns;
-* relationships: non-null child keys without a parent — a left anti join.
+* relationships: non-null child keys, counted per key, without a parent — a left anti join.
 
 Every check returns rows ``(table_name, column_name, test_name, failures)``;
 a check passes when ``failures == 0``.
@@ -90,12 +90,15 @@ def unique_checks(df: DataFrame, table: str, columns: Sequence[str]) -> DataFram
 
 def relationship_check(child: DataFrame, table: str, column: str,
                        parent: DataFrame, parent_field: str, broadcast_parent: bool = False) -> DataFrame:
-    p = parent.select(F.col(parent_field).alias("_parent_key")).distinct()
+    """Child rows whose non-null key has no parent.  Keys are counted first (combined
+    on the map side), so a hot key meets the parents as one row."""
+    p = parent.select(F.col(parent_field).alias("_parent_key"))
     if broadcast_parent:
         p = F.broadcast(p)
-    orphans = child.filter(F.col(column).isNotNull()).join(
-        p, F.col(column) == F.col("_parent_key"), "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("_f")).select(
+    keys = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    orphans = keys.join(p, F.col("_key") == F.col("_parent_key"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_f")).select(
         _row(table, column, "relationships", F.col("_f")).alias("r")).select("r.*")
 
 

@@ -1,9 +1,9 @@
 """DuckDB SQL for the cross-engine check of every registered query.
 
 The leading CTEs rebuild the same stand-in inputs as ``finlake.sources`` from
-the driver's tables; the model CTEs are written in the reference's own SQL
-formulation (range join + rank for the as-of join, global ``row_number`` for
-keys, CASE lookups), so they check the Spark formulations independently.
+the driver's tables; the model CTEs state the rules in DuckDB's own terms (ASOF
+JOIN for the rates, global ``row_number`` for keys, joined value lists for the
+category lookups), so they check the Spark formulations independently.
 Tie-breaks the reference leaves open are fixed identically on both sides.
 """
 
@@ -17,11 +17,12 @@ def _list(xs) -> str:
     return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in xs) + "]"
 
 
-def _case(col: str, mapping: dict, default) -> str:
-    def lit(v):
-        return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
-    whens = " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in mapping.items())
-    return f"CASE {col} {whens} ELSE {lit(default)} END"
+def _lit(v) -> str:
+    return str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+
+
+def _values(mapping: dict) -> str:
+    return ", ".join(f"({_lit(k)}, {_lit(v)})" for k, v in mapping.items())
 
 
 BATCH_RAW = f"""
@@ -34,7 +35,7 @@ batch_extract AS (
     ' Bank ' || CAST(c.c_nationkey AS VARCHAR) AS bank_name,
     CASE WHEN c.c_custkey % 5 = 3 THEN 'usd' WHEN c.c_custkey % 5 = 4 THEN 'EUR' ELSE 'GBP' END AS currency,
     CASE WHEN o.o_orderkey % 101 = 0 THEN CAST(0.0 AS DOUBLE) ELSE o.o_totalprice END AS amount,
-    CASE WHEN o.o_orderstatus = 'F' THEN 'Credit' ELSE 'debit' END AS transaction_type,
+    CASE WHEN o.o_orderstatus <> 'F' THEN 'debit' WHEN o.o_orderkey % 2 = 0 THEN 'credit' ELSE 'Credit' END AS transaction_type,
     CASE WHEN o.o_orderstatus = 'F' THEN ({_list(V.INCOME_CATEGORIES)})[o.o_orderkey % 4 + 1]
          ELSE ' ' || ({_list(V.EXPENSE_CATEGORIES)})[o.o_orderkey % 18 + 1] || ' ' END AS category,
     CASE WHEN o.o_orderstatus = 'F' THEN 'Income' ELSE 'expense' END AS category_type,
@@ -175,61 +176,39 @@ stg_exchange_rates AS (
 )"""
 
 CONVERSION = """
-gbp_rates AS (
-  SELECT target_currency, base_currency, rate_date, rate FROM (
-    SELECT *, row_number() OVER (PARTITION BY base_currency, target_currency, rate_date
-                                 ORDER BY _ingested_at DESC NULLS LAST, rate DESC NULLS LAST) AS rn
-    FROM stg_exchange_rates) WHERE rn = 1
-),
-rates_ranked AS (
-  SELECT t.transaction_id, t.currency, t.transaction_date, e.rate, e.rate_date,
-         row_number() OVER (PARTITION BY t.transaction_id ORDER BY e.rate_date DESC) AS rn
-  FROM stg_transactions t
-  LEFT JOIN gbp_rates e
-    ON t.currency = e.target_currency AND e.base_currency = 'GBP' AND e.rate_date <= t.transaction_date
-  WHERE t.currency != 'GBP'
+day_rates AS (
+  SELECT target_currency AS code, rate_date AS day,
+         first(rate ORDER BY _ingested_at DESC NULLS LAST, rate DESC) AS per_pound
+  FROM stg_exchange_rates WHERE base_currency = 'GBP' GROUP BY ALL
 ),
-latest_rates AS (
-  SELECT transaction_id, rate, rate_date AS exchange_rate_date FROM rates_ranked WHERE rn = 1
+priced AS (
+  SELECT t.*, r.per_pound, r.day AS priced_on
+  FROM (SELECT *, nullif(currency, 'GBP') AS foreign_code FROM stg_transactions) t
+  ASOF LEFT JOIN day_rates r ON t.foreign_code = r.code AND t.transaction_date >= r.day
 ),
 int_transactions_with_gbp AS (
-  SELECT t.*,
-         CASE WHEN t.currency = 'GBP' THEN CAST(t.amount AS DOUBLE)
-              WHEN lr.rate IS NOT NULL THEN round(t.amount / lr.rate, 2)
-              ELSE CAST(t.amount AS DOUBLE) END AS amount_gbp,
-         CASE WHEN t.currency = 'GBP' THEN CAST(t.signed_amount AS DOUBLE)
-              WHEN lr.rate IS NOT NULL THEN round(t.signed_amount / lr.rate, 2)
-              ELSE CAST(t.signed_amount AS DOUBLE) END AS signed_amount_gbp,
-         lr.rate AS exchange_rate_used,
-         lr.exchange_rate_date,
-         CASE WHEN t.currency = 'GBP' THEN false WHEN lr.rate IS NOT NULL THEN true ELSE false END AS was_converted
-  FROM stg_transactions t
-  LEFT JOIN latest_rates lr ON t.transaction_id = lr.transaction_id
+  SELECT * EXCLUDE (foreign_code, per_pound, priced_on),
+         coalesce(round(amount / per_pound, 2), CAST(amount AS DOUBLE)) AS amount_gbp,
+         coalesce(round(signed_amount / per_pound, 2), CAST(signed_amount AS DOUBLE)) AS signed_amount_gbp,
+         per_pound AS exchange_rate_used, priced_on AS exchange_rate_date,
+         per_pound IS NOT NULL AS was_converted
+  FROM priced
 )"""
 
 DIMS = f"""
+calendar AS (
+  SELECT CAST(range AS DATE) AS d
+  FROM range(DATE '{V.DATE_SPINE_START}', DATE '{V.DATE_SPINE_END}' + INTERVAL 1 DAY, INTERVAL 1 DAY)
+),
 dim_dates AS (
-  SELECT
-    CAST(strftime(date_day, '%Y%m%d') AS INTEGER) AS date_key,
-    date_day AS full_date,
-    extract(dayofweek FROM date_day) AS day_of_week,
-    dayname(date_day) AS day_name,
-    extract(day FROM date_day) AS day_of_month,
-    extract(dayofyear FROM date_day) AS day_of_year,
-    extract(week FROM date_day) AS week_of_year,
-    extract(month FROM date_day) AS month_number,
-    monthname(date_day) AS month_name,
-    left(monthname(date_day), 3) AS month_short,
-    extract(quarter FROM date_day) AS quarter_number,
-    'Q' || CAST(extract(quarter FROM date_day) AS VARCHAR) AS quarter_name,
-    extract(year FROM date_day) AS year_number,
-    CASE WHEN extract(month FROM date_day) >= 4 THEN extract(year FROM date_day)
-         ELSE extract(year FROM date_day) - 1 END AS fiscal_year,
-    CASE WHEN extract(dayofweek FROM date_day) IN (0, 6) THEN true ELSE false END AS is_weekend,
-    strftime(date_day, '%Y-%m-%d') AS iso_date,
-    strftime(date_day, '%Y-%m') AS year_month
-  FROM (SELECT CAST(unnest(generate_series(DATE '{V.DATE_SPINE_START}', DATE '{V.DATE_SPINE_END}',
-                                           INTERVAL '1 day')) AS DATE) AS date_day)
+  SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date,
+         dayofweek(d) AS day_of_week, dayname(d) AS day_name, day(d) AS day_of_month,
+         dayofyear(d) AS day_of_year, weekofyear(d) AS week_of_year, month(d) AS month_number,
+         monthname(d) AS month_name, monthname(d)[:3] AS month_short, quarter(d) AS quarter_number,
+         concat('Q', quarter(d)) AS quarter_name, year(d) AS year_number,
+         year(d) - CAST(month(d) < 4 AS BIGINT) AS fiscal_year, isodow(d) > 5 AS is_weekend,
+         CAST(d AS VARCHAR) AS iso_date, CAST(d AS VARCHAR)[:7] AS year_month
+  FROM calendar
 ),
 dim_accounts AS (
   SELECT row_number() OVER (ORDER BY account_id NULLS LAST) AS account_key,
@@ -240,18 +219,22 @@ dim_accounts AS (
                                            currency NULLS LAST) AS rn
         FROM stg_transactions) WHERE rn = 1
 ),
-category_enriched AS (
-  SELECT category, category_type,
-         {_case('category', V.PARENT_CATEGORY, V.PARENT_DEFAULT)} AS parent_category,
-         {_case('category', V.BUDGET_CATEGORY, V.BUDGET_DEFAULT)} AS budget_category
-  FROM (SELECT DISTINCT category, category_type FROM stg_transactions WHERE category IS NOT NULL)
+parents(name, parent) AS (VALUES {_values(V.PARENT_CATEGORY)}),
+budgets(name, budget) AS (VALUES {_values(V.BUDGET_CATEGORY)}),
+ranks(parent, place) AS (VALUES {_values(V.PARENT_SORT_ORDER)}),
+used AS (
+  SELECT category AS name, category_type, coalesce(parent, {_lit(V.PARENT_DEFAULT)}) AS parent,
+         coalesce(budget, {_lit(V.BUDGET_DEFAULT)}) AS budget
+  FROM (SELECT category, category_type FROM stg_transactions GROUP BY ALL) c
+  LEFT JOIN parents p ON p.name = c.category LEFT JOIN budgets b ON b.name = c.category
+  WHERE category IS NOT NULL
 ),
 dim_categories AS (
-  SELECT row_number() OVER (ORDER BY category_type DESC NULLS LAST, category ASC NULLS LAST) AS category_key,
-         category AS category_id, category AS category_name, category_type,
-         parent_category, budget_category,
-         CAST({_case('parent_category', V.PARENT_SORT_ORDER, V.SORT_ORDER_DEFAULT)} AS INTEGER) AS sort_order
-  FROM category_enriched
+  SELECT row_number() OVER (ORDER BY category_type DESC NULLS LAST, name) AS category_key,
+         name AS category_id, name AS category_name, category_type,
+         used.parent AS parent_category, budget AS budget_category,
+         CAST(coalesce(place, {_lit(V.SORT_ORDER_DEFAULT)}) AS INTEGER) AS sort_order
+  FROM used LEFT JOIN ranks ON ranks.parent = used.parent
 )"""
 
 FACT = """
@@ -297,6 +280,8 @@ def present(sql: str, dates=(), decimals=()) -> str:
     return f"SELECT * REPLACE ({', '.join(repl)}) FROM ({sql}) AS q"
 
 
+PENCE = "CAST(amount_gbp AS DECIMAL(28, 2))"
+POUNDS = f"CAST(sum({PENCE}) AS DOUBLE)"
 MONEY = "'£' || format('{:,.2f}', %s)"
 DAYS = _list(V.DAY_ORDER)
 
@@ -357,9 +342,8 @@ def build() -> dict[str, str]:
         ("transaction_date", "exchange_rate_date"), ("amount", "signed_amount", "exchange_rate_used"))
     q["asof_interval"] = present(
         _with(ALL_RAW + "," + STAGING + "," + CONVERSION,
-              "SELECT t.transaction_id, t.currency, t.transaction_date, CAST(lr.rate AS DOUBLE) AS rate, "
-              "lr.exchange_rate_date FROM stg_transactions t JOIN latest_rates lr "
-              "ON t.transaction_id = lr.transaction_id WHERE t.currency != 'GBP'"),
+              "SELECT transaction_id, currency, transaction_date, CAST(per_pound AS DOUBLE) AS rate, "
+              "priced_on AS exchange_rate_date FROM priced WHERE foreign_code IS NOT NULL"),
         ("transaction_date", "exchange_rate_date"))
     q["dim_dates_in_use"] = present(
         _with(RAW + "," + STAGING.split("stg_exchange_rates AS")[0].rstrip().rstrip(",") + "," +
@@ -379,31 +363,33 @@ def build() -> dict[str, str]:
         "FROM stg_transactions")
     q["wide_transactions"] = present(_with(WAREHOUSE, "SELECT * FROM wide ORDER BY transaction_date DESC"),
                                      TX_DATES, TX_DECIMALS)
-    stats = ("SELECT COUNT(*) AS total_transactions, "
-             "round(SUM(CASE WHEN transaction_type = 'credit' THEN amount_gbp ELSE 0 END), 2) AS total_income, "
-             "round(SUM(CASE WHEN transaction_type = 'debit' THEN amount_gbp ELSE 0 END), 2) AS total_expenses, "
-             "COUNT(DISTINCT merchant) AS unique_merchants FROM fact_transactions")
-    q["summary_stats"] = _with(WAREHOUSE, stats)
-    q["net_position"] = _with(WAREHOUSE + ", s AS (" + stats + ")",
-                              "SELECT total_income, total_expenses, "
-                              "round(total_income - total_expenses, 2) AS net_position, "
-                              "CASE WHEN round(total_income - total_expenses, 2) > 0 THEN 'Surplus' "
-                              "ELSE 'Deficit' END AS position_label FROM s")
+    side = "coalesce(sum(" + PENCE + ") FILTER (WHERE transaction_type = '{}'), 0)"
+    q["summary_stats"] = _with(
+        WAREHOUSE, f"SELECT count(*) AS total_transactions, CAST({side.format('credit')} AS DOUBLE) AS total_income, "
+                   f"CAST({side.format('debit')} AS DOUBLE) AS total_expenses, "
+                   "count(DISTINCT merchant) AS unique_merchants FROM fact_transactions")
+    q["net_position"] = present(
+        _with(WAREHOUSE, "SELECT money_in AS total_income, money_out AS total_expenses, "
+                         "money_in - money_out AS net_position, "
+                         "if(money_in > money_out, 'Surplus', 'Deficit') AS position_label FROM "
+                         f"(SELECT {side.format('credit')} AS money_in, {side.format('debit')} AS money_out "
+                         "FROM fact_transactions)"),
+        decimals=("total_income", "total_expenses", "net_position"))
     q["spend_by_category"] = _with(WAREHOUSE,
-                                   "SELECT category_name, round(sum(amount_gbp), 2) AS amount_gbp FROM wide "
+                                   f"SELECT category_name, {POUNDS} AS amount_gbp FROM wide "
                                    "WHERE transaction_type = 'debit' AND category_name IS NOT NULL "
                                    "GROUP BY category_name ORDER BY amount_gbp, category_name")
     q["daily_totals"] = present(_with(WAREHOUSE,
-                                      "SELECT transaction_date, transaction_type, round(sum(amount_gbp), 2) AS amount_gbp "
+                                      f"SELECT transaction_date, transaction_type, {POUNDS} AS amount_gbp "
                                       "FROM wide WHERE transaction_date IS NOT NULL AND transaction_type IS NOT NULL "
                                       "GROUP BY transaction_date, transaction_type ORDER BY 1, 2"), TX_DATES)
     q["top_merchants"] = _with(WAREHOUSE,
                                "SELECT merchant, total_spend, " + MONEY % "total_spend" + " AS total_spend_display, "
-                               "transaction_count FROM (SELECT merchant, round(sum(amount_gbp), 2) AS total_spend, "
+                               f"transaction_count FROM (SELECT merchant, {POUNDS} AS total_spend, "
                                "count(transaction_id) AS transaction_count FROM wide WHERE transaction_type = 'debit' "
                                "AND merchant IS NOT NULL GROUP BY merchant) ORDER BY total_spend DESC, merchant LIMIT 10")
     q["parent_category_breakdown"] = _with(WAREHOUSE,
-                                           "SELECT parent_category, round(sum(amount_gbp), 2) AS amount_gbp FROM wide "
+                                           f"SELECT parent_category, {POUNDS} AS amount_gbp FROM wide "
                                            "WHERE transaction_type = 'debit' AND parent_category IS NOT NULL "
                                            "GROUP BY parent_category ORDER BY parent_category")
     q["recent_transactions"] = present(_with(WAREHOUSE,
@@ -413,7 +399,7 @@ def build() -> dict[str, str]:
                                              "ORDER BY transaction_date DESC NULLS LAST, transaction_id NULLS LAST LIMIT 20"),
                                        TX_DATES)
     q["day_of_week_spend"] = _with(WAREHOUSE,
-                                   "SELECT day_name, round(sum(amount_gbp), 2) AS amount_gbp, "
+                                   f"SELECT day_name, {POUNDS} AS amount_gbp, "
                                    f"CAST(CASE WHEN list_position({DAYS}, day_name) > 0 THEN list_position({DAYS}, day_name) "
                                    "ELSE 8 END AS BIGINT) AS day_order FROM wide "
                                    "WHERE transaction_type = 'debit' AND day_name IS NOT NULL GROUP BY day_name "

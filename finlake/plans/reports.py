@@ -9,8 +9,8 @@ bounded result leaves the cluster:
 * top-k reports use ``orderBy().limit()`` (TakeOrderedAndProject: a per-task
   top-k, never a full sort) and join dimensions to those k rows only.
 
-Money sums are rounded to pennies (the dashboard shows them to 2 places);
-group keys that are null are dropped, as a pandas ``groupby`` does.
+Amounts have two places and are summed as decimals, so sums are exact and do not
+depend on the order of the rows; group keys that are null are dropped, as a pandas ``groupby`` does.
 """
 
 from __future__ import annotations
@@ -28,8 +28,13 @@ def _debits(fact: DataFrame) -> DataFrame:
     return fact.filter(F.col("transaction_type") == F.lit(DEBIT))
 
 
-def _pennies(c) -> F.Column:
-    return C.round_half_away(c, 2)
+def _exact(c: F.Column) -> F.Column:
+    return c.cast("decimal(28,2)")
+
+
+def _pounds(c: F.Column) -> F.Column:
+    """Exact sum of amounts of two places, whatever the order of the rows."""
+    return F.sum(_exact(c)).cast("double")
 
 
 def wide_transactions(fact: DataFrame, dim_accounts: DataFrame, dim_categories: DataFrame,
@@ -61,10 +66,8 @@ def summary_stats(fact: DataFrame) -> DataFrame:
     t = F.col("transaction_type")
     return fact.agg(
         F.count(F.lit(1)).alias("total_transactions"),
-        _pennies(F.sum(F.when(t == F.lit(CREDIT), F.col("amount_gbp")).otherwise(F.lit(0.0))))
-        .alias("total_income"),
-        _pennies(F.sum(F.when(t == F.lit(DEBIT), F.col("amount_gbp")).otherwise(F.lit(0.0))))
-        .alias("total_expenses"),
+        _pounds(F.when(t == F.lit(CREDIT), F.col("amount_gbp")).otherwise(F.lit(0.0))).alias("total_income"),
+        _pounds(F.when(t == F.lit(DEBIT), F.col("amount_gbp")).otherwise(F.lit(0.0))).alias("total_expenses"),
         F.countDistinct("merchant").alias("unique_merchants"),
     )
 
@@ -72,14 +75,14 @@ def summary_stats(fact: DataFrame) -> DataFrame:
 def net_position(fact: DataFrame) -> DataFrame:
     """RPT2 (net): income - expenses with a Surplus / Deficit label."""
     s = summary_stats(fact)
-    net = _pennies(F.col("total_income") - F.col("total_expenses"))
-    return s.select("total_income", "total_expenses", net.alias("net_position"),
+    net = _exact(F.col("total_income")) - _exact(F.col("total_expenses"))
+    return s.select("total_income", "total_expenses", net.cast("double").alias("net_position"),
                     F.when(net > 0, F.lit("Surplus")).otherwise(F.lit("Deficit"))
                     .alias("position_label"))
 
 
 def _debits_by(fact: DataFrame, key: str) -> DataFrame:
-    return _debits(fact).groupBy(key).agg(F.sum("amount_gbp").alias("_spend"))
+    return _debits(fact).groupBy(key).agg(F.sum(_exact(F.col("amount_gbp"))).alias("_spend"))
 
 
 def spend_by_category(fact: DataFrame, dim_categories: DataFrame) -> DataFrame:
@@ -88,7 +91,7 @@ def spend_by_category(fact: DataFrame, dim_categories: DataFrame) -> DataFrame:
     named = per_key.join(dim_categories.select("category_key", "category_name"),
                          "category_key", "left")
     return (named.filter(F.col("category_name").isNotNull())
-            .groupBy("category_name").agg(_pennies(F.sum("_spend")).alias("amount_gbp"))
+            .groupBy("category_name").agg(_pounds(F.col("_spend")).alias("amount_gbp"))
             .orderBy("amount_gbp", "category_name"))
 
 
@@ -97,7 +100,7 @@ def daily_totals(fact: DataFrame) -> DataFrame:
     return (fact.filter(F.col("transaction_date").isNotNull()
                         & F.col("transaction_type").isNotNull())
             .groupBy("transaction_date", "transaction_type")
-            .agg(_pennies(F.sum("amount_gbp")).alias("amount_gbp"))
+            .agg(_pounds(F.col("amount_gbp")).alias("amount_gbp"))
             .orderBy("transaction_date", "transaction_type"))
 
 
@@ -121,7 +124,7 @@ def top_merchants(fact: DataFrame, k: int = 10, display: bool = False) -> DataFr
     ``display=True`` gives the dashboard table: Merchant, Total Spend (text), Transactions.
     """
     per = (_debits(fact).filter(F.col("merchant").isNotNull()).groupBy("merchant")
-           .agg(_pennies(F.sum("amount_gbp")).alias("total_spend"),
+           .agg(_pounds(F.col("amount_gbp")).alias("total_spend"),
                 F.count("transaction_id").alias("transaction_count")))
     top = per.orderBy(F.col("total_spend").desc(), F.col("merchant").asc()).limit(k)
     out = top.select("merchant", "total_spend", C.money("total_spend").alias("total_spend_display"),
@@ -139,7 +142,7 @@ def parent_category_breakdown(fact: DataFrame, dim_categories: DataFrame) -> Dat
     named = per_key.join(dim_categories.select("category_key", "parent_category"),
                          "category_key", "left")
     return (named.filter(F.col("parent_category").isNotNull())
-            .groupBy("parent_category").agg(_pennies(F.sum("_spend")).alias("amount_gbp"))
+            .groupBy("parent_category").agg(_pounds(F.col("_spend")).alias("amount_gbp"))
             .orderBy("parent_category"))
 
 
@@ -170,7 +173,7 @@ def day_of_week_spend(fact: DataFrame, dim_dates: DataFrame) -> DataFrame:
     named = per_key.join(F.broadcast(dim_dates.select("date_key", "day_name")), "date_key", "left")
     order = F.array_position(F.array(*[F.lit(d) for d in DAY_ORDER]), F.col("day_name"))
     return (named.filter(F.col("day_name").isNotNull())
-            .groupBy("day_name").agg(_pennies(F.sum("_spend")).alias("amount_gbp"))
+            .groupBy("day_name").agg(_pounds(F.col("_spend")).alias("amount_gbp"))
             .withColumn("day_order", F.when(order > 0, order).otherwise(F.lit(len(DAY_ORDER) + 1))
                         .cast("bigint"))
             .orderBy("day_order", "day_name"))

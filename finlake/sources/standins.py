@@ -60,7 +60,8 @@ def transactions_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cust % 5 == 3, F.lit("usd")).when(cust % 5 == 4, F.lit("EUR"))
          .otherwise(F.lit("GBP")).alias("currency"),
         F.when(k % 101 == 0, F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("amount"),
-        F.when(is_f, F.lit("Credit")).otherwise(F.lit("debit")).alias("transaction_type"),
+        F.when(~is_f, F.lit("debit")).when(k % 2 == 0, F.lit("credit")).otherwise(F.lit("Credit"))
+         .alias("transaction_type"),
         category.alias("category"),
         F.when(is_f, F.lit("Income")).otherwise(F.lit("expense")).alias("category_type"),
         merchant.alias("merchant"),
