@@ -77,12 +77,10 @@ def signed_money(x: str | Column, txn_type: str | Column) -> Column:
 def title_case(c: str | Column) -> Column:
     """Python ``str.title()``: upper-case every letter that follows a non-letter
     (or starts the text), lower-case the others — ``'rent/mortgage'`` ->
-    ``'Rent/Mortgage'`` (``initcap`` only splits on spaces).  Built from
-    JVM higher-order functions over the characters of the value."""
+    ``'Rent/Mortgage'`` (``initcap`` only splits on spaces).  The text is cut
+    into runs of letters and of other characters, and each run capitalised."""
     s = col_(c)
-    chars = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(s), F.lit(1))),
-        lambda i: F.when((i == 1) | ~F.substring(s, i - 1, 1).rlike(r"\p{L}"),
-                         F.upper(F.substring(s, i, 1)))
-                   .otherwise(F.lower(F.substring(s, i, 1))))
-    return F.when(s.isNull(), F.lit(None)).otherwise(F.array_join(chars, ""))
+    runs = F.regexp_extract_all(s, F.lit(r"(\p{L}+|\P{L}+)"))
+    title = F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)),
+                                                 F.lower(F.substr(r, F.lit(2)))))
+    return F.array_join(title, "")

@@ -5,23 +5,28 @@ rank 1 per transaction, which pairs every transaction with every earlier rate.
 Here the right side is turned into a *validity calendar* instead:
 
 1. ``lead(time)`` per key gives each right row the interval it is valid for;
-2. each interval is expanded to one row per day (``sequence`` + ``explode``),
-   the last interval up to the newest right date ``G`` of the whole table;
+2. each interval is expanded to one row per day (``sequence`` + ``explode``), up
+   to ``G``, the newest right date or the newest left date, whichever is earlier;
 3. the left side joins on ``(key, least(left_date, G))`` — a pure equi-join,
    exactly one candidate per left row, no fan-out and no post-join ranking.
 
 The calendar has (days spanned) x (keys) rows: it grows with the calendar, not
 with the left side.  Its row count is checked; at most ``max_broadcast_rows`` it
 is broadcast (no shuffle of the big side), above it the join is a shuffle
-equi-join on (key, day) where adaptive execution splits skewed keys.
+equi-join on (key, day) where adaptive execution splits skewed keys and day ``G``,
+on which all later left rows meet, is dealt out to ``HORIZON_PARTS`` parts.
 """
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000  # ~100 MB of (currency, day, date, rate)
+HORIZON_PARTS = 64
 
 
 def validity_calendar(right: DataFrame, key: str, time: str, values: list[str],
@@ -30,16 +35,16 @@ def validity_calendar(right: DataFrame, key: str, time: str, values: list[str],
 
     ``right`` must hold at most one row per (key, time).  Columns: ``key``,
     ``_asof_day`` (date), ``time`` (the right row's own date), ``values``.
-    The last interval of every key runs to ``horizon`` (default: the newest
-    date of ``right``, as a scalar subquery).
+    No interval runs beyond ``horizon`` (default: the newest date of ``right``,
+    as a scalar subquery); right rows after it are left out.
     """
     if horizon is None:
         horizon = right.select(F.max(F.col(time).cast("date"))).scalar()
     w = Window.partitionBy(key).orderBy(time)
     r = right.select(key, F.col(time).cast("date").alias(time), *values)
     r = r.withColumn("_asof_next", F.lead(time).over(w))
-    last_day = F.coalesce(F.date_sub("_asof_next", 1), horizon)
-    return r.select(key, F.explode(F.sequence(F.col(time), last_day)).alias("_asof_day"),
+    last_day = F.least(F.date_sub("_asof_next", 1), horizon)
+    return r.filter(F.col(time) <= horizon).select(key, F.explode(F.sequence(F.col(time), last_day)).alias("_asof_day"),
                     time, *values)
 
 
@@ -53,15 +58,41 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     get nulls.
     """
     rename = rename or {}
-    horizon = right.select(F.max(F.col(right_date).cast("date"))).scalar()
-    cal = validity_calendar(right, right_key, right_date, values, horizon)
-    cal = cal.select(
+    horizon, n_cal = _calendar_size(left, right, left_date, right_key, right_date)
+    day = F.lit(horizon).cast("date")
+    cal = validity_calendar(right, right_key, right_date, values, day)
+    side = cal.select(
         F.col(right_key).alias("_asof_key"), "_asof_day",
         *[F.col(c).alias(rename.get(c, c)) for c in [right_date, *values]])
-    # size check on the small side; the calendar is bounded by days x keys
-    n_cal = cal.count()
-    side = F.broadcast(cal) if n_cal <= max_broadcast_rows else cal
     probe = left.withColumn("_asof_probe", F.when(
-        F.col(left_date).isNotNull(), F.least(F.col(left_date).cast("date"), horizon)))
-    cond = (probe[left_key] == side["_asof_key"]) & (probe["_asof_probe"] == side["_asof_day"])
-    return probe.join(side, cond, "left").drop("_asof_key", "_asof_day", "_asof_probe")
+        F.col(left_date).isNotNull(), F.least(F.col(left_date).cast("date"), day)))
+    on = [("_asof_probe", "_asof_day")]
+    if n_cal <= max_broadcast_rows:
+        side = F.broadcast(side)
+    else:  # all rows later than the horizon meet on one day: deal that day out
+        plain = [f.name for f in left.schema.fields if isinstance(f.dataType, AtomicType)]
+        probe = probe.withColumn("_asof_part", F.when(
+            F.col("_asof_probe") == day, F.pmod(F.xxhash64(*plain), F.lit(HORIZON_PARTS))).otherwise(F.lit(0)))
+        side = side.withColumn("_asof_copy", F.explode(F.when(
+            F.col("_asof_day") == day, F.sequence(F.lit(0), F.lit(HORIZON_PARTS - 1))).otherwise(F.array(F.lit(0)))))
+        on.append(("_asof_part", "_asof_copy"))
+    cond = probe[left_key] == side["_asof_key"]
+    for a, b in on:
+        cond = cond & (probe[a] == side[b])
+    return probe.join(side, cond, "left").drop("_asof_key", *[c for pair in on for c in pair])
+
+
+def _calendar_size(left: DataFrame, right: DataFrame, left_date: str, right_key: str, right_date: str):
+    """Horizon and row count of the calendar, from one pass over the left dates and one
+    over the right rows.  No day after the newest left date is needed, so a stray
+    right date far in the future makes no rows."""
+    newest = left.agg(F.max(F.col(left_date).cast("date"))).first()[0]
+    own = F.col(right_date).cast("date")
+    keys = right.filter(F.col(right_key).isNotNull()).groupBy(right_key).agg(
+        F.min(own).alias("_low"), F.max(own).alias("_high"))
+    size = keys.filter(F.col("_low") <= F.lit(newest).cast("date")).agg(
+        F.max("_high").alias("high"), F.count("_low").alias("n"), F.sum(F.unix_date("_low").cast("long")).alias("low")).first()
+    if not size["n"]:
+        return None, 0
+    horizon = min(size["high"], newest)
+    return horizon, size["n"] * ((horizon - date(1970, 1, 1)).days + 1) - size["low"]

@@ -60,8 +60,3 @@ def sequence_key(df: DataFrame, order: Sequence[Column], key: str = "key",
     out = ranged.withColumn(_PID, pid).join(F.broadcast(offsets), _PID, "inner")
     keyed = out.withColumn(key, (F.col(_OFF) + pos + 1).cast("bigint"))
     return keyed.select(*df.columns, key)
-
-
-def row_number_key(df: DataFrame, order: Sequence[Column], key: str = "key") -> DataFrame:
-    """Reference formulation (global window, one partition).  Bounded inputs and tests only."""
-    return df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("bigint"))

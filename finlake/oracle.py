@@ -407,7 +407,7 @@ def build() -> dict[str, str]:
     q["category_distribution"] = _with(RAW, "SELECT category, COUNT(*) AS count, round(AVG(amount), 2) AS avg_amount "
                                             "FROM raw_transactions GROUP BY category ORDER BY count DESC")
     q["rates_flatten"] = _with(RATES, "SELECT rate_date, 'GBP' AS base_currency, target_currency, rate FROM rates_clean "
-                                      "WHERE CAST(rate_date AS DATE) BETWEEN DATE '2020-01-01' AND DATE '2026-12-31' "
+                                      "WHERE CAST(rate_date AS DATE) >= DATE '2020-01-01' "
                                       "AND target_currency IN ('USD', 'EUR')")
     q["rates_enrich"] = _with(RATES, "SELECT * FROM raw_exchange_rates")
     q["signed_amount_date_parts"] = present(_with(BATCH_RAW,

@@ -44,7 +44,7 @@ def dim_dates(spark: SparkSession, start: str = V.DATE_SPINE_START,
         dow.isin(0, 6).alias("is_weekend"),
         F.date_format(d, "yyyy-MM-dd").alias("iso_date"),
         F.date_format(d, "yyyy-MM").alias("year_month"),
-    )
+    ).orderBy("date_key")
 
 
 def dim_accounts(stg_tx: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame
 
 from finlake.plans import conversion, dims, facts, staging
+from finlake.session import drop_folder
 from finlake.sinks.tables import write_mart
 
 MODELS = ("raw_transactions", "raw_exchange_rates", "stg_transactions", "stg_exchange_rates",
@@ -94,12 +95,14 @@ def materialise(wh: Warehouse, root: str,
     da = spark.read.parquet(f"{root}/dim_accounts")
     dc = spark.read.parquet(f"{root}/dim_categories")
     dd = spark.read.parquet(f"{root}/dim_dates")
+    ranged = f"{root}/_staging/fact_transactions_ranged"
     fact = facts.fact_transactions(wh.int_transactions_with_gbp, da, dc, dd,
                                    num_partitions=wh.num_partitions,
                                    account_rows=counts["dim_accounts"],
                                    category_rows=counts["dim_categories"],
-                                   key_staging=f"{root}/_staging/fact_transactions_ranged")
+                                   key_staging=ranged)
     counts["fact_transactions"] = write_mart(fact, f"{root}/fact_transactions", fact_partition_by)
+    drop_folder(spark, ranged)  # read for the last time by the write above
     return counts
 
 

@@ -188,7 +188,7 @@ def q_rates_flatten(spark, sf):
     """Monthly rates documents -> parse -> flatten, all dates, USD and EUR."""
     configure(spark)
     docs = rates_json.parse_documents(S.rates_documents(spark, sf))
-    return rates_json.flatten_rates(docs, "GBP", ["USD", "EUR"], "2020-01-01", "2026-12-31")
+    return rates_json.flatten_rates(docs, "GBP", ["USD", "EUR"], "2020-01-01", "9999-12-31")
 
 
 def q_rates_enrich(spark, sf):

@@ -87,3 +87,9 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder name under the shared checkpoint root (writers create it)."""
     root = checkpoint_root(spark)
     return f"{root}/finlake/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a staging folder that the library itself has written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -83,9 +83,7 @@ def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
     Of several rows with one key the smallest payload stays, so a replay keeps
     the same row; the aggregation combines on the map side, so a hot key is
     collapsed before the shuffle; the anti join reads only the key (and
-    scope) columns of the target, restricted to the batch's scope values
-    (a broadcast semi join: the distinct scope values of one batch are a
-    handful of calendar months).
+    scope) columns of the target, restricted to the batch's scope values.
     """
     has_key = F.lit(True)
     for k in keys:
@@ -95,8 +93,7 @@ def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
     if current is not None:
         seen = current.select(*keys, *scope).filter(has_key)
         if scope:
-            # scope values straight from the input (a narrow scan of the scope
-            # columns; the de-duplication does not change the set of months)
+            # a narrow scan of the input; de-duplication keeps the set of values
             seen = _restrict_to_scope(seen, df.filter(has_key), scope)
         same = [F.col(f"new.{c}") == F.col(f"old.{c}") for c in keys]
         same += [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in scope]
@@ -105,30 +102,12 @@ def _dedupe(df: DataFrame, keys: list[str], current: DataFrame | None,
     return keyed.unionByName(df.filter(~has_key))
 
 
-MAX_SCOPE_LITERALS = 1000
-
-
 def _restrict_to_scope(seen: DataFrame, batch: DataFrame, scope: list[str]) -> DataFrame:
-    """Target rows whose scope values occur in the batch.
-
-    The batch's distinct scope values (calendar months: a handful per batch,
-    bounded by the calendar) become a literal filter, which Spark turns into
-    partition pruning when the target is partitioned by the scope columns.
-    Beyond ``MAX_SCOPE_LITERALS`` values a broadcast semi join is used.
-    """
-    values = batch.select(*scope).distinct().limit(MAX_SCOPE_LITERALS + 1).collect()
-    if len(values) > MAX_SCOPE_LITERALS:
-        return seen.join(F.broadcast(batch.select(*scope).distinct()), scope, "left_semi")
-    if not values:
-        return seen.limit(0)
-    cond = None
-    for row in values:
-        term = None
-        for c in scope:
-            t = F.col(c).isNull() if row[c] is None else (F.col(c) == F.lit(row[c]))
-            term = t if term is None else term & t
-        cond = term if cond is None else cond | term
-    return seen.filter(cond)
+    """Target rows whose scope values occur in the batch (null equals null).  The
+    planner picks the strategy; a small batch side prunes the target's partitions."""
+    values = batch.select(*scope).distinct().alias("scope")
+    same = [F.col(f"seen.{c}").eqNullSafe(F.col(f"scope.{c}")) for c in scope]
+    return seen.alias("seen").join(values, reduce(and_, same), "left_semi")
 
 
 def _partition_columns(spark, target: str) -> list[str]:

@@ -27,6 +27,8 @@ from finlake.sources import standins as S
 from finlake.sources.tables import table_exists
 from finlake.streaming import consumer
 
+INBOX_FILES = 64  # files per micro-batch: bounds what the consumer keeps parsed
+
 _LOCK = threading.RLock()
 _LANDED: dict[tuple[str, str], dict[str, str]] = {}
 _MARTS: dict[tuple[str, str], str] = {}
@@ -51,7 +53,7 @@ def land(spark: SparkSession, sf_dir: str) -> dict[str, str]:
                    paths["transactions"], mode="append", ingested_at=S.RUN1_AT)
         inbox = f"{root}/inbox/messages"
         S.stream_messages(spark, sf_dir).select("key", "value").write.mode("overwrite").parquet(inbox)
-        consumer.drain(consumer.file_message_stream(spark, inbox), paths["transactions"],
+        consumer.drain(consumer.file_message_stream(spark, inbox, INBOX_FILES), paths["transactions"],
                        f"{root}/checkpoints/consumer",
                        dead_letter_target=paths["rejected_messages"],
                        ingested_at=F.lit(S.STREAM_AT).cast("timestamp_ntz"))

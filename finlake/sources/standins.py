@@ -202,7 +202,7 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _iso(F.col("ts")).alias("event_time"),
     )
     body = F.to_json(msg)
-    body = F.when(explicit_null_cat, F.concat(F.lit('{"category":null,'), F.substring(body, 2, 1 << 30))) \
+    body = F.when(explicit_null_cat, F.concat(F.lit('{"category":null,'), F.substr(body, F.lit(2)))) \
         .otherwise(body)
     value = F.when(i % 101 == 0, F.concat(F.lit("{not json "), i.cast("string"))).otherwise(body)
     msgs = e.select(F.concat(F.lit("acc_"), F.col("user_id").cast("string")).alias("key"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from finlake.operators.asof import asof_join
 from finlake.operators.dedup import first_per_key
-from finlake.operators.keys import row_number_key, sequence_key
+from finlake.operators.keys import sequence_key
 
 D = dt.date
 
@@ -92,6 +92,11 @@ def test_first_per_key_descending_latest_wins(spark):
     assert got == {"USD": 0.5, "EUR": 2.0}
 
 
+def row_number_key(df, order, key):
+    """The plain form: one global window in one task."""
+    return df.withColumn(key, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+
 def _keys_equal(spark, df, order):
     a = sequence_key(df, order, "k", num_partitions=5)
     b = row_number_key(df, order, "k2")
@@ -146,3 +151,26 @@ def test_asof_null_date_matches_nothing_on_either_join_path(spark):
         got = asof_join(left, right, left_key="ccy", right_key="ccy", left_date="d", right_date="d",
                         values=["rate"], rename={"d": "rate_date"}, max_broadcast_rows=bound)
         assert {r.id: r.rate for r in got.collect()} == {"a": None, "b": 2.0}
+
+
+def test_asof_stray_future_rate_and_hot_horizon_on_either_join_path(spark):
+    # a rate of the year 9999 makes no calendar rows; most transactions are dated after the last real rate
+    rates = _rates(spark).unionByName(spark.createDataFrame(
+        [("USD", D(9999, 12, 31), 9.0), ("CHF", D(9999, 12, 31), 9.0)], "ccy string, d date, rate double"))
+    tx = [(f"h{i}", "USD", D(2024, 3, 1)) for i in range(300)] + [("c", "CHF", D(2024, 3, 1)), ("e", "EUR", D(2024, 1, 2))]
+    t = spark.createDataFrame(tx, "id string, ccy string, d date")
+    for bound in (2_000_000, 0):
+        got = asof_join(t, rates, left_key="ccy", right_key="ccy", left_date="d", right_date="d",
+                        values=["rate"], rename={"d": "rate_date"}, max_broadcast_rows=bound)
+        assert got.columns == ["id", "ccy", "d", "rate_date", "rate"]
+        rows = {r.id: (r.rate, r.rate_date) for r in got.collect()}
+        assert len(rows) == 302 and all(rows[f"h{i}"] == (1.30, D(2024, 1, 10)) for i in range(300))
+        assert rows["c"] == rows["e"] == (None, None)
+
+
+def test_asof_without_dated_rows_or_rates(spark):
+    for left, right in ((_tx(spark).limit(0), _rates(spark)), (_tx(spark), _rates(spark).limit(0)),
+                        (_tx(spark).withColumn("d", F.lit(None).cast("date")), _rates(spark))):
+        got = asof_join(left, right, left_key="ccy", right_key="ccy", left_date="d", right_date="d",
+                        values=["rate"], rename={"d": "rate_date"}).collect()
+        assert len(got) == left.count() and all(r.rate is None for r in got)

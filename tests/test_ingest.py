@@ -175,3 +175,9 @@ def test_one_id_in_two_months_is_one_row_in_any_split(spark, tmp_path):
         sink.load(rows.filter(f"month = {m}"), split, dedupe_keys=["id"])
     read = lambda p: sorted(map(tuple, spark.read.parquet(p).collect()))
     assert read(whole) == read(split) == [(1, 1, "x"), (2, 1, "z")]
+
+
+def test_scoped_replay_of_a_null_scope_writes_nothing_twice(spark, tmp_table):
+    df = spark.createDataFrame([("a", None, 1.0), ("b", 2024, 2.0)], "id string, y int, v double")
+    assert sink.load(df, tmp_table, dedupe_keys=["id"], dedupe_scope=["y"]) == 2
+    assert sink.load(df, tmp_table, dedupe_keys=["id"], dedupe_scope=["y"]) == 0

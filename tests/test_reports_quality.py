@@ -143,6 +143,7 @@ def test_materialise_partitioned_fact(spark, tmp_path):
     wh = warehouse.build(S.raw_transactions(spark, sf), S.raw_exchange_rates(spark, sf))
     root = str(tmp_path / "marts")
     counts = warehouse.materialise(wh, root, fact_partition_by=["transaction_date"])
+    assert not any(p.is_file() for p in (tmp_path / "marts" / "_staging").rglob("*"))  # nothing is left behind
     fact = warehouse.read_marts(spark, root)["fact_transactions"]
     assert any(d.startswith("transaction_date=") for d in os.listdir(f"{root}/fact_transactions"))
     one_day = fact.filter("transaction_date = date'2024-01-05'")
