@@ -9,13 +9,18 @@ is laid against the document: the best run of aligned words, +1 for an equal
 word and -1 for a substituted one, is verified.  A document is contaminated when
 the run reaches ``MIN_SCORE`` (items with fewer words must match in full).
 
+The masks are complete: every row of equal and substituted words, of whatever
+length, that reaches ``MIN_SCORE`` holds one of them inside its best run (the test
+walks all rows that avoid them), so no alignment that the rule accepts goes
+without a hit.
+
 Only the benchmark side is broadcast, after its windows have been counted
 (``WINDOWS_BOUND``); a larger benchmark is joined by shuffling.
 
-Defined results: null or empty texts have no windows; items shorter than the
-longest mask are found by their whole word sequence, items under ``MIN_WORDS``
+Defined results: null or empty texts have no windows; items under ``MIN_SCORE``
+words are found by their whole word sequence, items under ``MIN_WORDS``
 words are no evidence and never match; repeated rows give one row per
-(doc_id, item_id); null ids are kept; empty tables give no rows.
+(doc_id, item_id); null ids of both sides are kept; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from pyspark.sql import functions as F
 from finlake.llm.common import stage
 
 # The masks (1 selects a position).
-MASKS = ("110100110101", "111001011", "1011000111")
+MASKS = ("1111", "11101", "11011", "111001", "101011")
 MIN_SCORE = 10
 MIN_WORDS = 5
 WINDOWS_BOUND = 1_000_000  # benchmark windows that may be broadcast (48 bytes each)
@@ -58,17 +63,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_start, n_equal, n_substituted, score of the best run."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              word_list(F.col("text").cast("string")).alias("words")) \
-        .filter(F.size("words") >= MIN_WORDS)
-    longest = max(map(len, MASKS))
-    short = sorted(r["n"] for r in items.filter(F.size("words") < longest).select(
-        F.size("words").alias("n")).distinct().collect())  # fewer than the longest mask has positions
+        .filter(F.size("words") >= MIN_WORDS).withColumn("item", F.md5(F.concat_ws(" ", "words")))
+    short = sorted(r["n"] for r in items.filter(F.size("words") < MIN_SCORE).select(
+        F.size("words").alias("n")).distinct().collect())
     masks = [*MASKS, *("1" * n for n in short)]
     size = F.size("words")
     by_mask = reduce(lambda a, b: a | b, [
-        (F.col("mask") == i) & ((size >= longest) if i < len(MASKS) else (size == len(m)))
+        (F.col("mask") == i) & ((size >= MIN_SCORE) if i < len(MASKS) else (size == len(m)))
         for i, m in enumerate(masks)])
-    keys = _windows(items, masks).filter(by_mask).filter("h IS NOT NULL").select(
-        "h", "mask", "item_id", F.col("pos").alias("item_pos"), size.alias("item_words"))
+    keys = _windows(items.dropDuplicates(["item"]), masks).filter(by_mask).filter("h IS NOT NULL").select(
+        "h", "mask", "item", F.col("pos").alias("item_pos"), size.alias("item_words"))
     few = keys.count() <= WINDOWS_BOUND
     small = F.broadcast if few else (lambda x: x)
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
@@ -77,14 +81,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     shift = F.col("pos") - F.col("item_pos")
     low = F.greatest(shift, F.lit(0))
     high = F.least(F.size("words"), shift + F.col("item_words"))
-    aligned = hits.select("doc_id", "item_id", shift.alias("shift"), low.alias("doc_low"),
+    aligned = hits.select("doc_id", "item", shift.alias("shift"), low.alias("doc_low"),
                           F.slice("words", low + 1, high - low).alias("part")) \
-        .dropDuplicates(["doc_id", "item_id", "shift", "part"])
-    lines = aligned.join(small(items.withColumnRenamed("words", "item")), "item_id")
-    equal = F.zip_with("part", F.slice("item", F.col("doc_low") - F.col("shift") + 1, F.size("part")),
+        .dropDuplicates(["doc_id", "item", "shift", "part"])
+    lines = aligned.join(small(items.distinct()), "item")
+    equal = F.zip_with("part", F.slice("words", F.col("doc_low") - F.col("shift") + 1, F.size("part")),
                        lambda a, b: a == b)
     best = _best_run(equal)
-    need = F.least(F.lit(MIN_SCORE), F.size("item"))
+    need = F.least(F.lit(MIN_SCORE), size)
     found = lines.withColumn("run", best).filter(F.col("run.score") >= need)
     start = F.col("doc_low") + F.col("run.start")
     length = F.col("run.end") - F.col("run.start")

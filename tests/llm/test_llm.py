@@ -2,6 +2,7 @@
 import hashlib
 import math
 import os
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -133,6 +134,83 @@ def test_decontamination(spark, odd, empty):
     assert decontaminate.find_leaks(empty, bench).count() == 0 == decontaminate.find_leaks(docs, bench.filter("false")).count()
 
 
+def avoiding_score(masks, need):
+    """Best run score of a row of equal (1) and other (0) words, of any length, that holds none of the masks."""
+    width = max(map(len, masks)) - 1
+    best = {0: 0}  # last bits -> best score of a run that ends there; before its start there is no equal word
+    while max(best.values()) < need:
+        new = dict(best)
+        for bits, x in best.items():
+            for bit in (0, 1):
+                row = bits << 1 | bit
+                if not any(row & int(m, 2) == int(m, 2) for m in masks):
+                    to = row & ((1 << width) - 1)
+                    new[to] = max(new.get(to, 0), x + 2 * bit - 1)
+        if new == best:
+            break
+        best = new
+    return max(best.values())
+
+
+def test_masks_are_complete():
+    assert avoiding_score(decontaminate.MASKS, decontaminate.MIN_SCORE) < decontaminate.MIN_SCORE
+    assert all("1" == m[0] == m[-1] and len(m) <= decontaminate.MIN_SCORE for m in decontaminate.MASKS)
+    assert avoiding_score(("110100110101", "111001011", "1011000111"), 10) == 10
+
+
+def brute_leaks(docs, items):
+    """Every item laid at every shift of every document."""
+    words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    out = {}
+    for d, t in docs:
+        for i, x in items:
+            w, v = words(t), words(x)
+            if len(v) < decontaminate.MIN_WORDS:
+                continue
+            for shift in range(1 - len(v), len(w)):
+                low, now, since = max(shift, 0), 0, 0
+                top = (0, 0, 0)
+                for at in range(low, min(len(w), shift + len(v))):
+                    if now <= 0:
+                        now, since = 0, at
+                    now += 1 if w[at] == v[at - shift] else -1
+                    if now > top[0]:
+                        top = (now, since, at + 1)
+                score, a, b = top
+                if score >= min(decontaminate.MIN_SCORE, len(v)):
+                    r = (score, -a, b, a - shift, (b - a + score) // 2, (b - a - score) // 2)
+                    out[d, i] = max(out.get((d, i), r), r)
+    return {(d, i, -r[1], r[2], r[3], r[4], r[5], r[0]) for (d, i), r in out.items()}
+
+
+def test_leaks_against_every_shift(spark):
+    rng = np.random.default_rng(6)
+    lengths = [4, 5, 6, 9, 10, 11, 12, 16, 20, 20, 59, 59, 200]
+    items = [(i, " ".join(f"i{i}w{rng.integers(40)}" for _ in range(n))) for i, n in enumerate(lengths)]
+    items += [(None, "a benchmark passage that has no id of its own but still counts"), (3, items[7][1]), (3, items[8][1])]
+    docs = [(None, items[-3][1])]
+
+    def plant(item, gone):
+        w = items[item][1].split()
+        docs.append((len(docs), " ".join(["before"] * int(rng.integers(4)) + [f"sub{i}" if i in gone else x for i, x in enumerate(w)])))
+    plant(7, (2, 6, 8))
+    for item, n in enumerate(lengths):
+        for every in (2, 3, 4):
+            for first in range(every):
+                plant(item, range(first, n, every))
+        for share in (0.1, 0.2, 0.25, 0.3, 0.4, 0.45):
+            for _ in range(4):
+                plant(item, {i for i in range(n) if rng.random() < share})
+        plant(item, {0})
+        plant(item, {n - 1})
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                   spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = brute_leaks(docs, items)
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    found = {(d, i) for d, i, *_ in want}
+    assert {(1, 7), (None, None), (1, 3)} <= found and len(found) > 200
+
+
 def test_fingerprints(odd, empty):
     order = sorted(TEXTS, key=lambda r: (-(r[0] if r[0] is not None else -math.inf), r[1] or ""))
     want = Counter()
