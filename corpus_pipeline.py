@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from finlake.llm import decontaminate, language, line_dedup, ngram_join, packing
-from finlake.llm.common import documents, fold, prepare, stage
+from finlake.llm.common import documents, fold, prepare, stage, text_digest
 
 ORACLE_SQL = None  # language identification and tokenizing are not SQL; tests use a brute-force version
 
@@ -35,12 +35,22 @@ def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def deduplicate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of every class of near copies (and all texts without shingles)."""
+    """Keeps the smallest row of every class of near copies (and all texts without shingles).
+
+    Rows go by id and text; of equal texts without an id one stays."""
     prepare(spark)
-    classes = ngram_join.join_components(docs)
-    gone = stage(classes.filter("n_shingles > 0 AND NOT component_id <=> doc_id").select(
-        F.col("doc_id").alias("_gone")).distinct(), "copies")
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    names = docs.columns
+    texts = stage(ngram_join.surplus(docs), "copies")
+    gone = texts.filter("NOT top").select(F.col("doc_id").alias("_gone"), F.col("digest").alias("_gone_text"))
+    digest = text_digest(F.col("text"))
+    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")) & (digest == F.col("_gone_text")), "left_anti")
+    ones = texts.filter("top AND doc_id IS NULL").select(F.col("digest").alias("_one"))
+    if ones.isEmpty():
+        return kept
+    none = kept.filter("doc_id IS NULL").withColumn("_one", digest)
+    single = none.join(ones, "_one", "left_semi").groupBy("_one").agg(F.min(F.struct(*names)).alias("_row"))
+    return kept.filter("doc_id IS NOT NULL").unionByName(none.join(ones, "_one", "left_anti").select(*names)) \
+        .unionByName(single.select("_row.*"))
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

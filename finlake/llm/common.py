@@ -62,6 +62,11 @@ def id_text(df: DataFrame) -> DataFrame:
                      F.col("text").cast("string").alias("text"))
 
 
+def text_digest(text: Column) -> Column:
+    """16 bytes that tell texts apart; null for a null text."""
+    return F.unhex(F.md5(text.cast("string").cast("binary")))
+
+
 def fold(doc_id: Column, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod`` (a null id folds like the empty text)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(mod)

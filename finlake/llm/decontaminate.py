@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import stage
+from finlake.llm.common import stage, text_digest
 
 # The masks (1 selects a position).
 MASKS = ("1111", "11101", "11011", "111001", "101011")
@@ -61,6 +61,10 @@ def _windows(rows: DataFrame, masks: list[str]) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per contaminated (doc_id, item_id): doc_start, doc_end (words),
     item_start, n_equal, n_substituted, score of the best run."""
+    return _leaks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark)
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                              word_list(F.col("text").cast("string")).alias("words")) \
         .filter(F.size("words") >= MIN_WORDS).withColumn("item", F.md5(F.concat_ws(" ", "words")))
@@ -75,8 +79,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "h", "mask", "item", F.col("pos").alias("item_pos"), size.alias("item_words"))
     few = keys.count() <= WINDOWS_BOUND
     small = F.broadcast if few else (lambda x: x)
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                      word_list(F.col("text").cast("string")).alias("words")).filter(F.size("words") >= MIN_WORDS)
+    own = docs.select("doc_id", word_list(F.col("text").cast("string")).alias("words")).filter(F.size("words") >= MIN_WORDS)
     hits = _windows(own, masks).join(small(keys), ["mask", "h"])
     shift = F.col("pos") - F.col("item_pos")
     low = F.greatest(shift, F.lit(0))
@@ -120,9 +123,12 @@ def _best_run(equal: Column) -> Column:
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any verified benchmark passage; columns as they are."""
-    bad = find_leaks(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
+    """The documents without any verified benchmark passage; columns as they are.
+
+    Texts are told apart by their digest, not by doc_id: a leak under a null or
+    repeated id takes no other text of that id with it."""
+    digest = text_digest(F.col("text"))
+    bad = _leaks(docs.select(digest.alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_bad")).distinct()
     bad = stage(bad, "leaks")
     few = bad.count() <= IDS_BOUND
-    return docs.join(F.broadcast(bad) if few else bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
-
+    return docs.join(F.broadcast(bad) if few else bad, digest == F.col("_bad"), "left_anti")

@@ -7,7 +7,8 @@ Texts become sets of distinct five-word shingles; two link when
    32 bits, in buckets of that number range, so counting memory is bounded).
    The most frequent ones, a bounded list, come last in the global order; it
    only affects speed, any order gives the same links.
-2. *Equal sets* collapse to their smallest document, before any index is built.
+2. *Equal sets* collapse to their smallest row, before any index is built.  Sets
+   are linked by their staged number in the order of these rows, never by doc_id.
 3. *Index.*  Every set lists the shingles of its prefix (sets that link share at
    least one prefix shingle) with its size and the position.  Lists of one entry go.
 4. *Hub rounds: answers of a highly similar set.*  In each list the smallest
@@ -25,9 +26,11 @@ Every link between different texts is either compared exactly or lies inside one
 class.  Nothing is capped.  Hubs with many partners are salted.
 
 Defined results: text without words (or null): no shingles, class of its own;
-fewer than five words: the whole sequence is the one shingle; rows with one
-doc_id are one document; null ids count as one document larger than all others;
-an empty table gives no rows; extra columns are not read.
+fewer than five words: the whole sequence is the one shingle; every row without
+an id is a document of its own, larger than all that have one (a class of such
+rows alone has the null class id); an empty table gives no rows; extra columns
+are not read.  Different texts under one proper id: ``join_components`` follows
+the SQL, where an id is one node; ``surplus`` (the pipeline) links each text alone.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from finlake.llm.common import id_text, partitions, stage
+from finlake.llm.common import id_text, partitions, stage, text_digest
 from finlake.llm.components import components
 from finlake.llm.words import shingles
 
@@ -51,7 +54,6 @@ BLOCK = 4096  # entries of one list in one block
 SALT = 1000  # partners of a hub compared in one group
 IDS_BOUND = 1_000_000  # ids that may be broadcast (16 MB); beyond, a shuffled join
 HUB_ROUNDS = 2
-NULL_ID = (1 << 63) - 1
 _U = np.uint64
 
 
@@ -134,7 +136,7 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return x[order], c[order]
 
 
-_SETS = ("doc_id long, n long, f1 long, f2 long, light int, prefix array<long>, map array<long>")
+_SETS = ("doc_id long, digest binary, n long, f1 long, f2 long, light int, prefix array<long>, map array<long>")
 
 
 def _sets_task(heavy: np.ndarray, counts: np.ndarray):
@@ -174,18 +176,17 @@ def _sets_task(heavy: np.ndarray, counts: np.ndarray):
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             width = np.arange(0, MAP_LONGS * (len(n) + 1), MAP_LONGS, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
+                [b.column("doc_id"), b.column("digest"), pa.array(n, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()),
                  pa.array(light, pa.int32()), pa.ListArray.from_arrays(ends, flat),
                  pa.ListArray.from_arrays(width, np.concatenate(maps) if maps else flat)],
-                names=["doc_id", "n", "f1", "f2", "light", "prefix", "map"])
+                names=["doc_id", "digest", "n", "f1", "f2", "light", "prefix", "map"])
     return run
 
 
 def _index(sets: DataFrame, reps: DataFrame) -> DataFrame:
     """(token, id, n, pos) of the representatives, lists of two entries or more."""
-    own = sets.filter("n > 0").join(reps.withColumnRenamed("rep", "doc_id"),
-                                    ["doc_id", "n", "f1", "f2"], "left_semi")
-    rows = own.select(F.col("doc_id").alias("id"), F.col("n").cast("int").alias("n"), "light",
+    own = sets.join(reps.select(F.col("first.row").alias("row"), F.col("node").alias("id")), "row")
+    rows = own.select("id", F.col("n").cast("int").alias("n"), "light",
                       F.posexplode("prefix").alias("pos", "token"))
     rare = rows.filter("pos < light").drop("light")
     rare = rare.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy("token"))) \
@@ -341,20 +342,20 @@ def _verify_task(batches):
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
 
-def verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole texts link."""
+def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose whole texts link."""
     spark = docs.sparkSession
     size = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_c"))
     salted = pairs.join(size, "a").select("a", "b", F.pmod(
         F.xxhash64("b"), F.ceil(F.col("_c") / F.lit(SALT))).alias("_salt"))
     need = salted.select("a", "_salt", F.lit(0).alias("_role"), F.col("a").alias("id")).distinct() \
         .unionByName(salted.select("a", "_salt", F.lit(1).alias("_role"), F.col("b").alias("id")))
-    ids = need.select(F.col("id").alias("doc_id")).distinct()
+    ids = reps.join(need.select(F.col("id").alias("node")).distinct(), "node", "left_semi").select(
+        F.col("node").alias("id"), F.col("first.doc_id").alias("_doc"), F.col("first.digest").alias("_digest"))
     if ids.count() <= IDS_BOUND:
-        texts = docs.join(F.broadcast(ids), "doc_id", "left_semi")
-    else:
-        texts = docs.join(ids, "doc_id", "left_semi")
-    rows = need.join(texts.select(F.col("doc_id").alias("id"), "text").distinct(), "id") \
+        ids = F.broadcast(ids)
+    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("digest") == F.col("_digest")))
+    rows = need.join(texts.select("id", "text").distinct(), "id") \
         .select("a", "_salt", "_role", "id", "text")
     return rows.repartition(partitions(spark), "a", "_salt").sortWithinPartitions("a", "_salt", "_role", "id") \
         .mapInArrow(_verify_task, "a long, b long").distinct()
@@ -382,38 +383,63 @@ def _merge_links(labels: DataFrame | None, found: DataFrame) -> DataFrame | None
     return _compose(labels, components(found))
 
 
-def join_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, rep_id (smallest document with an equal
-    set; null without shingles): one row per input row."""
-    base = id_text(docs).withColumn("doc_id", F.coalesce("doc_id", F.lit(NULL_ID)))
+def _by_id(sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """Edges (a, b) between the nodes of the different sets under one proper id."""
+    keys = ["n", "f1", "f2"]
+    named = sets.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", *keys)
+    several = named.groupBy("doc_id").agg(F.greatest(*[(F.min(k) != F.max(k)).cast("int") for k in keys]).alias("_c")) \
+        .filter("_c > 0").select("doc_id")
+    nodes = stage(named.join(several, "doc_id").join(reps, keys).select("doc_id", F.col("node").alias("b")).distinct(),
+                  "several")
+    return nodes.join(nodes.groupBy("doc_id").agg(F.min("b").alias("a")), "doc_id").filter("a <> b").select("a", "b")
+
+
+def _classes(docs: DataFrame, by_id: bool) -> DataFrame:
+    """One row per input row: doc_id, digest (of the text), n_shingles, ``first`` (smallest
+    row with an equal set) and ``top`` (smallest row of the class); both null without shingles."""
+    base = id_text(docs).withColumn("digest", text_digest(F.col("text")))
     heavy, counts = frequent_shingles(base)
-    sets = stage(base.mapInArrow(_sets_task(heavy, counts), _SETS), "sets")
+    sets = stage(base.mapInArrow(_sets_task(heavy, counts), _SETS).withColumn("row", F.monotonically_increasing_id()),
+                 "sets")
     keys = ["n", "f1", "f2"]
-    reps = stage(sets.filter("n > 0").groupBy(*keys).agg(F.min("doc_id").alias("rep")), "reps")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "row")
+    firsts = stage(sets.filter("n > 0").groupBy(*keys).agg(F.min(order).alias("first")), "firsts")
+    # numbered in the order of the ids: hubs are the smallest, and an original is older than its copies
+    reps = stage(firsts.orderBy("first").withColumn("node", F.monotonically_increasing_id()), "reps")
     index = _index(sets, reps)
-    maps = sets.filter("n > 0").join(reps.withColumnRenamed("rep", "doc_id"), ["doc_id", *keys], "left_semi") \
-        .select(F.col("doc_id").alias("id"), "n", "map").distinct()
-    # one id with several texts: its sets belong together
-    member = sets.select("doc_id", *keys).join(reps, keys, "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "rep")
-    twice = member.filter("rep IS NOT NULL").groupBy("doc_id").agg(
-        F.min("rep").alias("a"), F.collect_set("rep").alias("_all"), F.count(F.lit(1)).alias("_c")) \
-        .filter("size(_all) > 1").select("a", F.explode("_all").alias("b")).filter("a <> b")
-    labels = _merge_links(None, twice)
+    maps = sets.join(reps.select(F.col("first.row").alias("row"), F.col("node").alias("id")), "row") \
+        .select("id", "n", "map")
+    labels = _merge_links(None, _by_id(sets, reps)) if by_id else None
     for _ in range(HUB_ROUNDS):
-        labels = _merge_links(labels, verify(stage(_filter_by_map(_hub_pairs(index, labels), maps), "pairs"), base))
+        labels = _merge_links(labels, verify(stage(_filter_by_map(_hub_pairs(index, labels), maps), "pairs"), base, reps))
     pairs = stage(_cross_pairs(index, labels, maps), "pairs")
     if not pairs.isEmpty():
-        labels = _merge_links(labels, verify(pairs, base))
-    out = member
+        labels = _merge_links(labels, verify(pairs, base, reps))
     if labels is None:
-        out = out.withColumn("label", F.lit(None).cast("long"))
+        tops = reps.withColumn("top", F.col("first"))
     else:
-        out = out.join(labels.select(F.col("id").alias("rep"), "label"), "rep", "left")
-    real = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    out = out.withColumn("component_id", F.coalesce("label", "rep", "doc_id"))
-    return out.select(real("doc_id").alias("doc_id"), "n_shingles", real("component_id").alias("component_id"),
-                      real("rep").alias("rep_id"))
+        linked = reps.join(labels.select(F.col("id").alias("node"), "label"), "node")
+        top = linked.groupBy("label").agg(F.min("first").alias("top"))
+        tops = reps.join(linked.select("node", "label").join(top, "label").select("node", "top"), "node", "left") \
+            .withColumn("top", F.coalesce("top", "first"))
+    return sets.select("doc_id", "digest", *keys).join(tops.select(*keys, "first", "top"), keys, "left").select(
+        "doc_id", "digest", F.col("n").alias("n_shingles"), "first", "top")
+
+
+def join_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, rep_id (smallest document with an equal
+    set; null without shingles): one row per input row."""
+    return _classes(docs, by_id=True).select(
+        "doc_id", "n_shingles", F.when(F.col("top").isNull(), F.col("doc_id")).otherwise(F.col("top.doc_id"))
+        .alias("component_id"), F.col("first.doc_id").alias("rep_id"))
+
+
+def surplus(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, top): the texts with words and whether they are the smallest of
+    their class; texts are linked one by one, whatever ids they share."""
+    return _classes(docs, by_id=False).filter("n_shingles > 0").select(
+        "doc_id", "digest", (F.col("doc_id").eqNullSafe(F.col("top.doc_id"))
+                             & (F.col("digest") == F.col("top.digest"))).alias("top")).distinct()
 
 
 ORACLE = r"""

@@ -84,6 +84,28 @@ def test_ngram_join(odd, empty):
     assert ngram_join.join_components(empty).count() == 0
 
 
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    import corpus_pipeline as P
+    text = lambda x: " ".join(f"{x}{i}" for i in range(80))
+    near = lambda x: text(x).replace(f"{x}0 ", "other ")
+    rows_ = [(5, text("a")), (9, text("b")), (None, text("a")), (None, near("b")), (None, text("c")), (None, near("c")),
+             (None, text("c")), (None, text("d")), (None, ""), (None, None), (7, near("a")), (7, text("e")), (8, near("e"))]
+    docs = spark.createDataFrame([(*r, "en") for r in rows_], "doc_id long, text string, lang string").repartition(3)
+    got = ngram_join.join_components(docs).collect()
+    by_sql = {"a": 5, "b": 9, "e": 5}  # the SQL takes an id as one node, so 7 ties a and e; a missing id ties nothing
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter(
+        (d, by_sql.get((t or "-").split()[-1][:1] if t else "")) for d, t in rows_)
+    kept = Counter((r.doc_id, r.text) for r in P.deduplicate_documents(spark, docs, "").collect())
+    copies = [kept.pop((None, x), 0) for x in (text("c"), near("c"))]
+    assert sum(copies) == 1
+    assert kept == Counter([(5, text("a")), (9, text("b")), (None, text("d")), (None, ""), (None, None), (7, text("e"))])
+    bench = spark.createDataFrame([(1, text("d")), (2, text("e"))], "item_id long, text string")
+    left = decontaminate.remove_leaks(docs, bench)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter(
+        (d, t) for d, t in rows_ if t not in (text("d"), text("e"), near("e")))
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(9, 8), (8, 7), (7, 6), (6, 5), (20, 21), (21, 22), (30, 30)], "a long, b long")
     got = {r.id: r.label for r in components(edges).collect()}
