@@ -15,11 +15,12 @@ Texts become sets of distinct five-word shingles; two link when
    set is checked against the others.  A set that links with its hub takes over
    the hub's class, so pairs inside a class are never compared: a group of a
    thousand near copies costs about a thousand comparisons.
-5. *Exact round.*  Lists that still hold several classes are walked in blocks
-   ordered by size and position: a walk ends at the first set too large to link,
-   positions too late to leave enough overlap are skipped, pairs of one class
-   are skipped, and a 512-bit parity map bounds the overlap from above.  Long lists
-   are cut into blocks that different tasks pair up.  What remains is compared
+5. *Exact round.*  Lists that still hold several classes are walked in the order
+   of size: a walk ends at the first set too large to link.  Pairs with positions
+   too late to leave enough overlap and pairs of one class are visited and dropped
+   (the position only filters, it never ends or jumps a walk), and a 512-bit
+   parity map bounds the overlap from above.  Long lists are cut by a hash of the
+   set into blocks that different tasks pair up, each with every other.  What remains is compared
    exactly on whole texts.
 
 Every link between different texts is either compared exactly or lies inside one
