@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from finlake.llm import (decontaminate, fingerprints, hilbert, language, lattice, line_dedup,
-                         ngram_join, packing, token_counts, toxicity)
+from finlake.llm import (cascade, decontaminate, fingerprints, hilbert, language, lattice, lexical, line_dedup,
+                         ngram_join, packing, resampling, token_counts, toxicity)
 from finlake.llm.common import documents, prepare
 
 
@@ -53,6 +53,18 @@ def op10_language_id(spark, sf):
     return language.identify(documents(spark, sf))
 
 
+def op11_lexical_search(spark, sf):
+    return lexical.search(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet"))
+
+
+def op12_quality_rules(spark, sf):
+    return cascade.digest(cascade.judge(documents(spark, sf)))
+
+
+def op13_resampling(spark, sf):
+    return resampling.digest(resampling.resample(documents(spark, sf), spark.read.parquet(f"{sf}/benchmark.parquet")))
+
+
 def pipeline(spark, sf):
     import corpus_pipeline
     return corpus_pipeline.run(prepare(spark), sf)
@@ -69,10 +81,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_sharding": op9_sharding,
     "op10_language_id": op10_language_id,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_quality_rules": op12_quality_rules,
+    "op13_resampling": op13_resampling,
     "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": ngram_join.ORACLE,
     "op8_line_dedup": line_dedup.ORACLE,
+    "op11_lexical_search": lexical.ORACLE,
+    "op12_quality_rules": cascade.ORACLE,
 }
