@@ -40,10 +40,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to a fresh table in the shared folder and read it back."""
     path = f"{scratch_dir(df.sparkSession, 'llm-' + name)}/table"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -9,11 +9,12 @@ Newlines separate words, so a text's features are those inside its lines plus
 those that cross a line's end:
 
 1. Tasks cut their texts into lines (a line is its sequence of words) in chunks
-   of about ``CHUNK`` bytes.  A chunk lists each distinct line once, with its
-   number of occurrences; a document keeps references to lines and the buckets
-   of its cross-line runs.
-2. Lines are added up over all chunks.  Each distinct line's buckets are computed
-   once; bucket totals are these times the occurrences, plus the cross-line ones.
+   of about ``CHUNK`` characters and list each distinct line of a chunk with its
+   number of occurrences.  Lines are added up over all chunks, and each distinct
+   line's buckets are computed once.
+2. A second pass over the texts keeps of every document references to its chunk's
+   lines, known by a 128-bit key, and the buckets of its cross-line runs.  Bucket
+   totals are each line's buckets times its occurrences, plus the cross-line ones.
 3. With the gains, each distinct line is weighed once.  Its weight goes back to
    the chunks that list it (a line that a third of all documents repeat is one
    row per chunk), and every document adds the weights of its lines, as often as
@@ -35,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -51,10 +53,9 @@ CHUNK = 8 << 20
 # Word bytes stay (A-Z lower-cased), the newline stays, every other ASCII byte separates.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or b == 10 or chr(b).isalnum() else 32
                for b in range(256))
-_PARTS = "part long, doc_id long, n_words long, refs binary, cross binary, idx int, key binary, line binary, times long"
+_PARTS = "part long, doc_id long, n_words long, refs binary, cross binary, idx int, key binary"
 _ARROW = pa.schema([("part", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("refs", pa.binary()),
-                    ("cross", pa.binary()), ("idx", pa.int32()), ("key", pa.binary()), ("line", pa.binary()),
-                    ("times", pa.int64())])
+                    ("cross", pa.binary()), ("idx", pa.int32()), ("key", pa.binary())])
 
 
 def bucket(run: bytes) -> int:
@@ -76,12 +77,11 @@ def inner_buckets(line: bytes) -> np.ndarray:
 
 class Line:
     """A distinct line of a chunk: its place, size and the words at its ends."""
-    __slots__ = ("idx", "size", "head", "tail", "times")
+    __slots__ = ("idx", "size", "head", "tail")
 
     def __init__(self, idx: int, line: bytes):
         w = line.split(b" ")
-        self.idx, self.size, self.times = idx, len(w), 0
-        self.head, self.tail = w[:2], w[-2:]
+        self.idx, self.size, self.head, self.tail = idx, len(w), w[:2], w[-2:]
 
 
 def cross_buckets(lines: list[Line]) -> list[int]:
@@ -106,7 +106,28 @@ def n_features(words: int) -> int:
     return words + max(words - 1, 0) + max(words - 2, 0)
 
 
+def _distinct_lines(batches):
+    """The distinct lines of every chunk with their occurrences."""
+    seen: Counter = Counter()
+    held = 0
+
+    def flush():
+        return pa.RecordBatch.from_arrays([pa.array(seen, pa.binary()), pa.array(seen.values(), pa.int64())],
+                                          names=["line", "times"])
+
+    for b in batches:
+        for text in b.column("text").to_pylist():
+            seen.update(lines_of(text))
+            held += len(text or "")
+            if held > CHUNK:
+                yield flush()
+                seen.clear()
+                held = 0
+    yield flush()
+
+
 def _cut(batches):
+    """Documents as references to their chunk's lines, and the keys of these lines."""
     part = TaskContext.get().partitionId() << 32
     docs: list[tuple] = []
     seen: dict[bytes, Line] = {}
@@ -117,8 +138,7 @@ def _cut(batches):
         ids, words, refs, cross = list(zip(*docs)) or [()] * 4
         rows = [[part] * (n + k), list(ids) + [None] * k, list(words) + [None] * k, list(refs) + [None] * k,
                 list(cross) + [None] * k, [None] * n + [x.idx for x in seen.values()],
-                [None] * n + [xxhash.xxh3_128_digest(x) for x in seen], [None] * n + list(seen),
-                [None] * n + [x.times for x in seen.values()]]
+                [None] * n + [line_key(x) for x in seen]]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, _ARROW.types)], schema=_ARROW)
 
     for b in batches:
@@ -128,10 +148,9 @@ def _cut(batches):
                 at = seen.get(x)
                 if at is None:
                     at = seen[x] = Line(len(seen), x)
-                at.times += 1
                 lines.append(at)
             docs.append((doc_id, sum(x.size for x in lines), np.array([x.idx for x in lines], "<u4").tobytes(),
-                         np.array(cross_buckets(lines), "<u2").tobytes()))
+                         packed(cross_buckets(lines))))
             held += len(text or "") + 64
             if held > CHUNK:
                 yield flush()
@@ -142,18 +161,32 @@ def _cut(batches):
         yield flush()
 
 
+def line_key(line: bytes) -> bytes:
+    return xxhash.xxh3_128_digest(line)
+
+
+def packed(buckets) -> bytes:
+    """Buckets in ascending order as steps, which compress well."""
+    return np.diff(np.sort(np.array(buckets, "<u2")), prepend=np.uint16(0)).astype("<u2").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, "<u2"), dtype=np.int64)
+
+
 def _line_buckets(batches):
     for b in batches:
-        got = [inner_buckets(x).tobytes() for x in b.column("line").to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column("key"), b.column("times"), pa.array(got, pa.binary())],
-                                         names=["key", "times", "buckets"])
+        lines = b.column("line").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([line_key(x) for x in lines], pa.binary()), b.column("times"),
+             pa.array([packed(inner_buckets(x)) for x in lines], pa.binary())], names=["key", "times", "buckets"])
 
 
 def _totals(batches):
     """Per task: how often every bucket occurs (``buckets`` counted ``times`` times)."""
     total = np.zeros(N_BUCKETS, np.int64)
     for b in batches:
-        runs = [np.frombuffer(x, "<u2") for x in b.column("buckets").to_pylist()]
+        runs = [unpacked(x) for x in b.column("buckets").to_pylist()]
         if runs:
             np.add.at(total, np.concatenate(runs), np.repeat(b.column("times").to_numpy(), list(map(len, runs))))
     at = np.flatnonzero(total)
@@ -181,11 +214,13 @@ class Segments:
     """The cut texts of a table, with each distinct line once."""
 
     def __init__(self, rows: DataFrame, name: str):
-        parts = stage(rows.mapInArrow(_cut, _PARTS), f"{name}-parts")
+        parts = stage(rows.mapInArrow(_cut, _PARTS), f"{name}-parts", "zstd")
         self.docs = parts.filter("refs IS NOT NULL").select("part", "doc_id", "n_words", "refs", "cross")
         self.listed = parts.filter("key IS NOT NULL").select("part", "idx", "key")
-        distinct = parts.filter("key IS NOT NULL").groupBy("key", "line").agg(F.sum("times").alias("times"))
-        self.lines = stage(distinct.mapInArrow(_line_buckets, "key binary, times long, buckets binary"), f"{name}-lines")
+        distinct = rows.select("text").mapInArrow(_distinct_lines, "line binary, times long").groupBy("line").agg(
+            F.sum("times").alias("times"))
+        self.lines = stage(distinct.mapInArrow(_line_buckets, "key binary, times long, buckets binary"),
+                           f"{name}-lines", "zstd")
 
     def totals(self) -> np.ndarray:
         cross = self.docs.select(F.col("cross").alias("buckets"), F.lit(1).cast("long").alias("times"))
@@ -200,7 +235,7 @@ def gumbel(doc_id: int | None, seed: int) -> int:
 def _weigh_lines(gain):
     def run(batches):
         for b in batches:
-            got = [int(gain.value[np.frombuffer(x, "<u2")].sum()) for x in b.column("buckets").to_pylist()]
+            got = [int(gain.value[unpacked(x)].sum()) for x in b.column("buckets").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(got, pa.int64())], names=["key", "gain"])
     return run
 
@@ -210,7 +245,7 @@ def _weigh_documents(gain, seed: int):
         of = np.zeros(lines.num_rows, np.int64)
         of[lines.column("idx").to_numpy()] = lines.column("gain").to_numpy()
         ids, words = docs.column("doc_id").to_pylist(), docs.column("n_words").to_pylist()
-        weight = [int(of[np.frombuffer(r, "<u4")].sum() + gain.value[np.frombuffer(c, "<u2")].sum())
+        weight = [int(of[np.frombuffer(r, "<u4")].sum() + gain.value[unpacked(c)].sum())
                   for r, c in zip(docs.column("refs").to_pylist(), docs.column("cross").to_pylist())]
         return pa.table({
             "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(words, pa.int64()),
