@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
@@ -51,11 +51,14 @@ def validity_calendar(right: DataFrame, key: str, time: str, values: list[str],
 def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: str,
               left_date: str, right_date: str, values: list[str],
               rename: dict[str, str] | None = None,
-              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+              wanted: Column | None = None) -> DataFrame:
     """Left outer as-of join on dates; adds ``values`` + ``right_date`` (renamed by ``rename``).
 
     Unmatched left rows (null key, null date, or dated before the key's first right row)
-    get nulls.
+    get nulls.  ``wanted``: only rows for which this holds need a match.  Where the join
+    shuffles, the others (and rows with a null key or date) do not enter it; a broadcast
+    join moves no left row, so there they go along (the right side has nothing for them).
     """
     rename = rename or {}
     horizon, n_cal = _calendar_size(left, right, left_date, right_key, right_date)
@@ -69,6 +72,7 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
     on = [("_asof_probe", "_asof_day")]
     if n_cal <= max_broadcast_rows:
         side = F.broadcast(side)
+        rest = None
     else:  # all rows later than the horizon meet on one day: deal that day out
         plain = [f.name for f in left.schema.fields if isinstance(f.dataType, AtomicType)]
         probe = probe.withColumn("_asof_part", F.when(
@@ -76,10 +80,17 @@ def asof_join(left: DataFrame, right: DataFrame, *, left_key: str, right_key: st
         side = side.withColumn("_asof_copy", F.explode(F.when(
             F.col("_asof_day") == day, F.sequence(F.lit(0), F.lit(HORIZON_PARTS - 1))).otherwise(F.array(F.lit(0)))))
         on.append(("_asof_part", "_asof_copy"))
+        find = F.col(left_key).isNotNull() & F.col("_asof_probe").isNotNull()
+        find = find if wanted is None else F.coalesce(find & wanted, F.lit(False))
+        probe, rest = probe.filter(find), probe.filter(~find)
     cond = probe[left_key] == side["_asof_key"]
     for a, b in on:
         cond = cond & (probe[a] == side[b])
-    return probe.join(side, cond, "left").drop("_asof_key", *[c for pair in on for c in pair])
+    out = probe.join(side, cond, "left").drop("_asof_key", *[c for pair in on for c in pair])
+    if rest is None:
+        return out
+    added = out.schema.fields[len(left.columns):]  # by position: a right name may repeat a left one
+    return out.union(rest.select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added]))
 
 
 def _calendar_size(left: DataFrame, right: DataFrame, left_date: str, right_key: str, right_date: str):

@@ -40,7 +40,7 @@ batch_extract AS (
          ELSE ' ' || ({_list(V.EXPENSE_CATEGORIES)})[o.o_orderkey % 18 + 1] || ' ' END AS category,
     CASE WHEN o.o_orderstatus = 'F' THEN 'Income' ELSE 'expense' END AS category_type,
     'Merchant ' || CAST(o.o_orderkey % 97 AS VARCHAR) AS merchant,
-    CAST(o.o_orderdate AS DATE) + 9131 AS transaction_date,
+    CASE WHEN o.o_orderkey % 53 <> 0 THEN CAST(o.o_orderdate AS DATE) + 9131 END AS transaction_date,
     CAST(CAST(o.o_orderdate AS DATE) + 9131 AS TIMESTAMP) + to_seconds(o.o_orderkey % 86400) AS transaction_timestamp
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
 ),
@@ -61,9 +61,8 @@ batch_raw AS (
 # events -> messages -> parsed rows; every 50th event is delivered twice.
 STREAM = """
 ev AS (
-  SELECT event_id, ts, user_id, event_type, value FROM events
-  UNION ALL
-  SELECT event_id, ts, user_id, event_type, value FROM events WHERE event_id % 50 = 0
+  SELECT event_id, ts + to_days(CAST(event_id % 5 * 30 AS INTEGER)) AS ts, user_id, event_type, value
+  FROM events, range(CASE WHEN event_id % 50 = 0 THEN 2 ELSE 1 END)
 ),
 ev_flags AS (
   SELECT *, (event_id % 17 = 0 AND event_id % 13 <> 0 AND event_type <> 'signup') AS explicit_null_cat
@@ -73,7 +72,9 @@ stream_all AS (
   SELECT
     'acc_' || CAST(user_id AS VARCHAR) AS key,
     CASE WHEN event_id % 101 = 0 THEN 'malformed_json'
-         WHEN event_id % 97 = 0 THEN 'missing_required' END AS reject_reason,
+         WHEN event_id % 97 = 0 THEN 'missing_required'
+         WHEN event_id % 83 = 0 THEN 'invalid_amount'
+         WHEN event_id % 89 = 0 THEN 'invalid_timestamp' END AS reject_reason,
     'evt_' || CAST(event_id AS VARCHAR) AS transaction_id,
     'acc_' || CAST(user_id AS VARCHAR) AS account_id,
     CASE WHEN event_id % 3 = 0 THEN 'Streaming Account' ELSE 'User ' || CAST(user_id AS VARCHAR) END AS account_name,
@@ -188,10 +189,10 @@ priced AS (
 ),
 int_transactions_with_gbp AS (
   SELECT * EXCLUDE (foreign_code, per_pound, priced_on),
-         coalesce(round(amount / per_pound, 2), CAST(amount AS DOUBLE)) AS amount_gbp,
-         coalesce(round(signed_amount / per_pound, 2), CAST(signed_amount AS DOUBLE)) AS signed_amount_gbp,
-         per_pound AS exchange_rate_used, priced_on AS exchange_rate_date,
-         per_pound IS NOT NULL AS was_converted
+         coalesce(round(amount / nullif(per_pound, 0), 2), CAST(amount AS DOUBLE)) AS amount_gbp,
+         coalesce(round(signed_amount / nullif(per_pound, 0), 2), CAST(signed_amount AS DOUBLE)) AS signed_amount_gbp,
+         nullif(per_pound, 0) AS exchange_rate_used, if(per_pound = 0, NULL, priced_on) AS exchange_rate_date,
+         coalesce(per_pound <> 0, false) AS was_converted
   FROM priced
 )"""
 
@@ -328,18 +329,19 @@ PUBLISH = ("SELECT account_id AS key, CASE WHEN transaction_id IS NULL "
 
 TX_DATES = ("transaction_date",)
 TX_DECIMALS = ("amount", "signed_amount")
+PARTS = ("transaction_year", "transaction_month", "transaction_day_of_week")  # null without a date
 
 
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     q["stg_transactions"] = present(_with(RAW + "," + STAGING.split("stg_exchange_rates AS")[0].rstrip().rstrip(","),
-                                          "SELECT * FROM stg_transactions"), TX_DATES, TX_DECIMALS)
+                                          "SELECT * FROM stg_transactions"), TX_DATES, TX_DECIMALS + PARTS)
     q["stg_exchange_rates"] = present(
         _with(RATES + "," + "stg_exchange_rates AS" + STAGING.split("stg_exchange_rates AS")[1],
               "SELECT * FROM stg_exchange_rates"), ("rate_date",), ("rate", "inverse_rate"))
     q["int_transactions_with_gbp"] = present(
         _with(ALL_RAW + "," + STAGING + "," + CONVERSION, "SELECT * FROM int_transactions_with_gbp"),
-        ("transaction_date", "exchange_rate_date"), ("amount", "signed_amount", "exchange_rate_used"))
+        ("transaction_date", "exchange_rate_date"), ("amount", "signed_amount", "exchange_rate_used") + PARTS)
     q["asof_interval"] = present(
         _with(ALL_RAW + "," + STAGING + "," + CONVERSION,
               "SELECT transaction_id, currency, transaction_date, CAST(per_pound AS DOUBLE) AS rate, "
@@ -362,7 +364,7 @@ def build() -> dict[str, str]:
         "(ORDER BY transaction_timestamp NULLS LAST, transaction_id NULLS LAST) AS transaction_key "
         "FROM stg_transactions")
     q["wide_transactions"] = present(_with(WAREHOUSE, "SELECT * FROM wide ORDER BY transaction_date DESC"),
-                                     TX_DATES, TX_DECIMALS)
+                                     TX_DATES, TX_DECIMALS + ("year_number",))
     side = "coalesce(sum(" + PENCE + ") FILTER (WHERE transaction_type = '{}'), 0)"
     q["summary_stats"] = _with(
         WAREHOUSE, f"SELECT count(*) AS total_transactions, CAST({side.format('credit')} AS DOUBLE) AS total_income, "
@@ -413,15 +415,23 @@ def build() -> dict[str, str]:
     q["signed_amount_date_parts"] = present(_with(BATCH_RAW,
                                                   "SELECT transaction_id, amount, transaction_type, signed_amount, "
                                                   "transaction_date, transaction_year, transaction_month, "
-                                                  "transaction_day_of_week FROM batch_raw"), TX_DATES)
+                                                  "transaction_day_of_week FROM batch_raw"), TX_DATES, PARTS)
     q["stream_parse"] = present(_with(STREAM.split("raw_transactions AS")[0].rstrip().rstrip(","),
-                                      "SELECT * EXCLUDE (_ingested_at) FROM stream_raw"), TX_DATES)
+                                      "SELECT * EXCLUDE (_ingested_at) FROM stream_raw"), TX_DATES, PARTS)
     q["stream_rejects"] = _with(STREAM.split("raw_transactions AS")[0].rstrip().rstrip(","),
                                 "SELECT key, reject_reason AS reason FROM stream_all WHERE reject_reason IS NOT NULL")
     q["stream_ingest"] = present(_with(STREAM.split("raw_transactions AS")[0].rstrip().rstrip(","),
-                                       "SELECT DISTINCT * EXCLUDE (_ingested_at) FROM stream_raw"), TX_DATES)
+                                       "SELECT DISTINCT * EXCLUDE (_ingested_at) FROM stream_raw"), TX_DATES, PARTS)
+    q["stream_dead_letters"], q["stream_state_dedup"] = q["stream_rejects"], q["stream_ingest"]
+    q["wide_colocated"] = q["wide_transactions"]
+    q["mart_footers"] = _with(WAREHOUSE, """
+        SELECT 'fact_transactions' AS table_name, count(*) AS rows, min(transaction_key) AS low, max(transaction_key) AS high
+        FROM fact_transactions UNION ALL
+        SELECT 'dim_accounts', count(*), min(account_key), max(account_key) FROM dim_accounts UNION ALL
+        SELECT 'dim_categories', count(*), min(category_key), max(category_key) FROM dim_categories""")
+    q["replace_rates"] = _with(RATES, "SELECT * FROM raw_exchange_rates WHERE _ingested_at = TIMESTAMP '2024-01-01 01:00:00'")
     q["dedup_append"] = present(_with(RAW, "SELECT DISTINCT * FROM stream_raw UNION ALL SELECT * FROM batch_raw"),
-                                TX_DATES)
+                                TX_DATES, PARTS)
     q["publish_messages"] = _with(BATCH_RAW, PUBLISH)
     for name, tests in (("dq_unique", ("unique",)), ("dq_not_null", ("not_null",)),
                         ("dq_accepted_values", ("accepted_values",)),

@@ -56,8 +56,9 @@ DECLARED: list[TableChecks] = [
         _a("transaction_type", V.TRANSACTION_TYPES)]),
 ]
 
-# Parents whose size is fixed by construction (broadcast in the anti join).
-SMALL_PARENTS = ("dim_dates",)
+
+def of(table: str) -> list[Check]:
+    return next(t.checks for t in DECLARED if t.table == table)
 
 
 def count_checks() -> int:

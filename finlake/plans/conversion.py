@@ -3,7 +3,11 @@
 * GBP transactions keep their amount (no rate looked up);
 * others use the newest GBP-based rate dated on or before the transaction date:
   ``round(amount / rate, 2)``, computed in DOUBLE as the reference engine does;
-* no rate (or null currency) -> own amount, ``was_converted = false``.
+* no rate (or null currency) -> own amount, ``was_converted = false``; a rate that is
+  stored as zero is no rate: none is shown as used.
+
+GBP and null-currency rows (most of the fact) have no rate to find; where the as-of join
+has to shuffle, they stay out of it.
 
 Rates are first reduced to one per (currency, date): the latest ingestion wins,
 then the highest rate (the reference leaves this tie arbitrary).
@@ -35,6 +39,7 @@ def latest_rates(stg_tx: DataFrame, stg_rates: DataFrame,
     return asof_join(stg_tx, gbp_rates(stg_rates), left_key="currency",
                      right_key="target_currency", left_date="transaction_date",
                      right_date="rate_date", values=["rate"],
+                     wanted=F.col("currency") != F.lit(BASE),
                      rename={"rate_date": "exchange_rate_date", "rate": "_rate"},
                      max_broadcast_rows=max_broadcast_rows)
 
@@ -45,7 +50,7 @@ def int_transactions_with_gbp(stg_tx: DataFrame, stg_rates: DataFrame,
     is_gbp = F.col("currency") == F.lit(BASE)
     rate = F.col("_rate").cast("double")
     # a rate below half a millionth is stored as 0.000000: the own amount stays
-    has_rate = F.col("_rate").isNotNull() & (rate != 0) & ~is_gbp
+    has_rate = F.coalesce(F.col("_rate").isNotNull() & (rate != 0) & ~is_gbp, F.lit(False))
 
     def gbp(c: str):
         own = F.col(c).cast("double")
@@ -55,7 +60,7 @@ def int_transactions_with_gbp(stg_tx: DataFrame, stg_rates: DataFrame,
         *[c for c in stg_tx.columns],
         gbp("amount").alias("amount_gbp"),
         gbp("signed_amount").alias("signed_amount_gbp"),
-        F.when(is_gbp, F.lit(None)).otherwise(F.col("_rate")).cast("decimal(18,6)").alias("exchange_rate_used"),
-        F.when(is_gbp, F.lit(None)).otherwise(F.col("exchange_rate_date")).cast("date").alias("exchange_rate_date"),
-        F.coalesce(has_rate, F.lit(False)).alias("was_converted"),
+        F.when(has_rate, F.col("_rate")).cast("decimal(18,6)").alias("exchange_rate_used"),
+        F.when(has_rate, F.col("exchange_rate_date")).cast("date").alias("exchange_rate_date"),
+        has_rate.alias("was_converted"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from finlake.functions import columns as C
 from finlake.functions import vocab as V
 from finlake.operators.dedup import first_per_key
-from finlake.operators.keys import sequence_key
+from finlake.operators.ranges import dense_key
 
 
 def date_spine(spark: SparkSession, start: str = V.DATE_SPINE_START,
@@ -47,12 +47,11 @@ def dim_dates(spark: SparkSession, start: str = V.DATE_SPINE_START,
     ).orderBy("date_key")
 
 
-def dim_accounts(stg_tx: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def dim_accounts(stg_tx: DataFrame) -> DataFrame:
     """One row per account_id (smallest name, nulls last), keyed in account_id order."""
     acc = first_per_key(stg_tx, ["account_id"], ["account_name"],
                         payload=["account_type", "currency"])
-    keyed = sequence_key(acc, [F.col("account_id").asc_nulls_last()], "account_key",
-                         num_partitions)
+    keyed = dense_key(acc, ["account_id"], "account_key", stg_tx.select("account_id").distinct())
     return keyed.select(
         "account_key", "account_id", "account_name", "account_type", "currency",
         F.current_timestamp().alias("created_at"),
@@ -61,7 +60,7 @@ def dim_accounts(stg_tx: DataFrame, num_partitions: int | None = None) -> DataFr
     )
 
 
-def dim_categories(stg_tx: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def dim_categories(stg_tx: DataFrame) -> DataFrame:
     """Distinct (category, category_type) with hierarchy, budget class and sort order."""
     pairs = stg_tx.filter(F.col("category").isNotNull()) \
         .select("category", "category_type").distinct()
@@ -70,9 +69,7 @@ def dim_categories(stg_tx: DataFrame, num_partitions: int | None = None) -> Data
         "category", "category_type",
         parent.alias("parent_category"),
         C.lookup("category", V.BUDGET_CATEGORY, V.BUDGET_DEFAULT).alias("budget_category"))
-    keyed = sequence_key(enriched, [F.col("category_type").desc_nulls_last(),
-                                    F.col("category").asc_nulls_last()],
-                         "category_key", num_partitions)
+    keyed = dense_key(enriched, ["-category_type", "category"], "category_key", pairs)
     return keyed.select(
         "category_key",
         F.col("category").alias("category_id"),

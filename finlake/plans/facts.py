@@ -10,8 +10,10 @@ Dimension joins:
   dimension of at most ``DIM_BROADCAST_MAX_ROWS`` rows outright.
 
 The transaction key is a dense 1..N over (transaction_timestamp, transaction_id)
-from ``sequence_key`` (no single-partition window); the reference orders by
-the timestamp alone, the id is the added tie-break.
+from ``dense_key`` (no single-partition window); the reference orders by the
+timestamp alone, the id (and for a category with several types its key) is the
+added tie-break.  The ranges are fitted on ``stg_tx``, which has the fact's sort
+keys before any join, so the joins below run once.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.operators.keys import sequence_key
+from finlake.operators.ranges import ROWS_PER_RANGE, dense_key
 
 DIM_BROADCAST_MAX_ROWS = 2_000_000
 
@@ -41,12 +43,23 @@ def attach_dimension_keys(int_tx: DataFrame, dim_accounts: DataFrame,
              .join(d, F.col("t.transaction_date") == F.col("d.full_date"), "left"))
 
 
+def _sort_keys(stg_tx: DataFrame, dim_categories: DataFrame) -> DataFrame:
+    """The fact's sort keys: one row per staged transaction, with the number of fact rows it
+    makes (a category that came with several types has several dimension rows)."""
+    several = dim_categories.groupBy("category_id").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    t = stg_tx.select("transaction_timestamp", "transaction_id", "category")
+    return t.join(several, F.col("category") == F.col("category_id"), "left") \
+        .withColumn("_rows", F.coalesce("_rows", F.lit(1)))
+
+
 def fact_transactions(int_tx: DataFrame, dim_accounts: DataFrame, dim_categories: DataFrame,
                       dim_dates: DataFrame, with_key: bool = True,
-                      num_partitions: int | None = None,
                       account_rows: int | None = None,
                       category_rows: int | None = None,
-                      key_staging: str | None = None) -> DataFrame:
+                      stg_tx: DataFrame | None = None,
+                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """``stg_tx``: the staging rows that ``int_tx`` was made from, one for one; without it the
+    ranges are fitted on the joined rows' sort columns."""
     j = attach_dimension_keys(int_tx, dim_accounts, dim_categories, dim_dates,
                               account_rows, category_rows)
     cols = [
@@ -62,8 +75,8 @@ def fact_transactions(int_tx: DataFrame, dim_accounts: DataFrame, dim_categories
     ]
     fact = j.select(*cols)
     if with_key:
-        fact = sequence_key(fact, [F.col("transaction_timestamp").asc_nulls_last(),
-                                   F.col("transaction_id").asc_nulls_last()],
-                            "transaction_key", num_partitions, staging=key_staging)
+        keys, weight = (None, None) if stg_tx is None else (_sort_keys(stg_tx, dim_categories), "_rows")
+        fact = dense_key(fact, ["transaction_timestamp", "transaction_id", "category_key"], "transaction_key",
+                         keys, weight, rows_per_range)
         fact = fact.select("transaction_key", *[c for c in fact.columns if c != "transaction_key"])
     return fact.withColumn("_created_at", F.current_timestamp())

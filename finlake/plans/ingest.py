@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from finlake.functions import columns as C
+from finlake.operators.quality import Check
+from finlake.plans import checks
 from finlake.schemas import RAW_EXCHANGE_RATE_COLUMNS, RAW_TRANSACTION_COLUMNS
 
 
@@ -48,8 +50,10 @@ def rates_transform(df: DataFrame, ingested_at: dt.datetime,
 
 def run(extract: DataFrame, transforms: Sequence[Callable[[DataFrame], DataFrame]],
         target: str, mode: str = "append", dedupe_keys: Sequence[str] | None = None,
-        ingested_at: dt.datetime | None = None) -> dict:
-    """Extract -> transform -> load; returns the run statistics of the reference job."""
+        ingested_at: dt.datetime | None = None, observed: Sequence[Check] = ()) -> dict:
+    """Extract -> transform -> load; returns the run statistics of the reference job.
+
+    The ``observed`` checks are counted during the write (``finlake.sinks.tables.load``)."""
     from finlake.sinks import tables as sink
     from finlake.sources.tables import table_exists
 
@@ -68,7 +72,8 @@ def run(extract: DataFrame, transforms: Sequence[Callable[[DataFrame], DataFrame
         df = extract.observe(seen, F.count(F.lit(1)).alias("rows"))
         for fn in transforms:
             df = df.transform(fn)
-        loaded = sink.load(df, target, mode=mode, dedupe_keys=dedupe_keys, check_empty=False)
+        loaded = sink.load(df, target, mode=mode, dedupe_keys=dedupe_keys, check_empty=False,
+                           checks=observed)
         extracted = seen.get.get("rows", 0)
     return {
         "table": target,
@@ -88,7 +93,8 @@ def ingest_exchange_rates(spark, documents_path: str, target: str, base_currency
     at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     rows = rates_json.flatten_rates(rates_json.read_documents(spark, documents_path), base_currency,
                                     target_currencies, start_date, end_date)
-    return run(rows, [lambda df: rates_transform(df, at)], target, mode=mode, ingested_at=at)
+    return run(rows, [lambda df: rates_transform(df, at)], target, mode=mode, ingested_at=at,
+               observed=checks.of("raw_exchange_rates"))
 
 
 def ingest_transactions(extract: DataFrame, target: str, mode: str = "append",
@@ -98,4 +104,4 @@ def ingest_transactions(extract: DataFrame, target: str, mode: str = "append",
     """Transactions job: extract (14 columns) -> PRJ1-PRJ3 -> load (optionally idempotent)."""
     at = ingested_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return run(extract, [lambda df: transactions_transform(df, at, source)], target, mode=mode,
-               dedupe_keys=dedupe_keys, ingested_at=at)
+               dedupe_keys=dedupe_keys, ingested_at=at, observed=checks.of("raw_transactions"))

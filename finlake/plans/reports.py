@@ -15,13 +15,16 @@ depend on the order of the rows; group keys that are null are dropped, as a pand
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from finlake.functions import columns as C
 from finlake.functions.vocab import DAY_ORDER
 
 DEBIT, CREDIT = "debit", "credit"
+PAGE_ORDER = ("transaction_date", "transaction_id", "transaction_key")  # newest first, then ascending
 
 
 def _debits(fact: DataFrame) -> DataFrame:
@@ -104,9 +107,36 @@ def daily_totals(fact: DataFrame) -> DataFrame:
             .orderBy("transaction_date", "transaction_type"))
 
 
-def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
-    """Hand a report to the client (SNK9) — refuses results above ``max_rows``
-    instead of pulling an unbounded table through the driver."""
+def page(fact: DataFrame, size: int, after: Row | None = None) -> DataFrame:
+    """SNK9: the next ``size`` fact rows after row ``after`` of the page before, newest first.
+
+    The order (date, id, key) is unique, so pages that follow one another hold every
+    row once, and a page is found by its first row, not by counting.  The cursor's
+    date is a plain filter: files and row groups of later dates are skipped, and
+    each task keeps ``size`` rows at most."""
+    day, ident, key = (F.col(c) for c in PAGE_ORDER)
+    if after is not None:
+        d, i, k = (after[c] for c in PAGE_ORDER)
+        later = (key > k) if i is None else (ident > i) | ident.isNull() | ((ident == i) & (key > k))
+        same = later if i is not None else ident.isNull() & later
+        fact = fact.filter(day.isNull() & same if d is None else
+                           (day < d) | day.isNull() | ((day == d) & same))
+        if d is not None:
+            fact = fact.filter((day <= d) | day.isNull())  # alone it reaches the scan's statistics
+    return fact.orderBy(day.desc_nulls_last(), ident.asc_nulls_last(), key.asc_nulls_last()).limit(size)
+
+
+def pages(fact: DataFrame, size: int) -> Iterator[list[Row]]:
+    """All rows of the fact, page by page; one page at a time is with the client."""
+    rows = page(fact, size).collect()
+    while rows:
+        yield rows
+        rows = page(fact, size, rows[-1]).collect() if len(rows) == size else []
+
+
+def to_pandas_bounded(df: DataFrame, max_rows: int):
+    """Hand a report of at most ``max_rows`` rows to the client (SNK9); more is an error,
+    not cut.  Reports without a bound are read by ``pages``."""
     pdf = df.limit(max_rows + 1).toPandas()
     if len(pdf) > max_rows:
         raise ValueError(f"result has more than {max_rows} rows; aggregate or page it instead")

@@ -5,35 +5,41 @@ raw tables the library's ingestion jobs land from them) and runs the whole
 tables through the library's operators.
 
 Presentation for the cross-engine check: DATE columns are shown as
-TIMESTAMP (midnight), DECIMAL columns and the fact's nullable foreign keys as
-DOUBLE, identically in ``finlake.oracle``; audit columns holding the current
+TIMESTAMP (midnight), DECIMAL columns, the fact's nullable foreign keys and the
+parts of nullable dates as DOUBLE, identically in ``finlake.oracle``; audit columns holding the current
 time are left out.
 The library functions themselves keep the reference's types.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finlake.operators.keys import sequence_key
 from finlake.operators.quality import run_checks
+from finlake.operators.ranges import dense_key
 from finlake.plans import checks, conversion, dims, ingest, reports, staging, warehouse
 from finlake.session import configure, scratch_dir
+from finlake.sinks.files import Files
 from finlake.sinks.tables import load
 from finlake.sources import landing, rates_json
 from finlake.sources import standins as S
+from finlake.sources.tables import footer_stats, read_table
 from finlake.streaming import consumer, messages, producer
 
 AUDIT = ("created_at", "updated_at", "_created_at")
 
 
-def present(df: DataFrame, as_double: tuple[str, ...] = ()) -> DataFrame:
-    """``as_double``: integer columns that can hold nulls (left-join keys) — a
-    client would otherwise get a float column from one engine and a nullable
+NULLABLE_PARTS = ("transaction_year", "transaction_month", "transaction_day_of_week", "year_number")
+
+
+def present(df: DataFrame, as_double: tuple[str, ...] = NULLABLE_PARTS) -> DataFrame:
+    """``as_double``: integer columns that can hold nulls (left-join keys, parts of a
+    null date) — a client would otherwise get a float column from one engine and a nullable
     integer column from the other."""
     cols = []
     for f in df.schema.fields:
@@ -101,7 +107,7 @@ def q_dim_dates_in_use(spark, sf):
     configure(spark)
     used = _stg(spark, sf).select(F.col("transaction_date").alias("full_date")).distinct()
     dd = dims.dim_dates(spark)
-    return present(dd.join(used, "full_date", "left_semi").select(*dd.columns))
+    return present(dd.join(used, "full_date", "left_semi").select(*dd.columns), ())
 
 
 def q_dim_accounts(spark, sf):
@@ -119,8 +125,7 @@ def q_fact_transactions(spark, sf):
 def q_surrogate_key(spark, sf):
     """KEY1 on staged transactions: dense keys in (timestamp, id) order."""
     stg = _stg(spark, sf).select("transaction_id", "transaction_timestamp")
-    return sequence_key(stg, [F.col("transaction_timestamp").asc_nulls_last(),
-                              F.col("transaction_id").asc_nulls_last()], "transaction_key")
+    return dense_key(stg, ["transaction_timestamp", "transaction_id"], "transaction_key")
 
 
 class _Marts:
@@ -139,6 +144,38 @@ def q_wide_transactions(spark, sf):
     return present(reports.wide_transactions(fact, m.dim_accounts, m.dim_categories, m.dim_dates))
 
 
+def q_wide_colocated(spark, sf):
+    """The same report over a fact and an account dimension that are bucketed for each other."""
+    configure(spark)
+    name = "finlake_colocated_" + landing.app_id(spark).replace("-", "_").lower()
+    m = warehouse.save_colocated(landing.marts(spark, sf), name, f"{scratch_dir(spark, 'colocated')}",
+                                 int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return present(reports.wide_transactions(m["fact_transactions"], m["dim_accounts"], m["dim_categories"],
+                                             m["dim_dates"]))
+
+
+def q_mart_footers(spark, sf):
+    """Row counts and key ranges of the keyed marts, from their Parquet footers."""
+    configure(spark)
+    folders = landing.mart_folders(spark, sf)
+    keys = {"fact_transactions": "transaction_key", "dim_accounts": "account_key", "dim_categories": "category_key"}
+    return functools.reduce(DataFrame.unionByName, [
+        footer_stats(spark, folders[t], [k]).select(F.lit(t).alias("table_name"), "rows", F.col(f"min_{k}").alias("low"),
+                                                    F.col(f"max_{k}").alias("high")) for t, k in keys.items()])
+
+
+def q_replace_rates(spark, sf):
+    """Replace load: the first rates run, replaced by the second, then by an empty one (which
+    leaves it); the target is versioned and read through its current version."""
+    configure(spark)
+    target = f"{scratch_dir(spark, 'replace_rates')}/raw_exchange_rates"
+    second = ingest.rates_transform(S.rates_run2_extract(spark, sf), S.RUN2_AT)
+    load(ingest.rates_transform(S.rates_run1_extract(spark, sf), S.RUN1_AT), target, mode="replace", versioned=True)
+    load(second, target, mode="replace")
+    load(second.filter("rate < 0"), target, mode="replace")
+    return read_table(spark, target)
+
+
 def q_summary_stats(spark, sf):
     _, fact = _marts(spark, sf)
     return reports.summary_stats(fact)
@@ -219,20 +256,62 @@ def q_stream_rejects(spark, sf):
     return messages.rejected_rows(parsed).select("key", "reason")
 
 
-def q_stream_ingest(spark, sf):
-    """Available-now consumer with exact de-duplication, run twice over the same
-    inbox (the second run replays every message); the target is partitioned by
-    transaction year / month and read back."""
+INBOX_FILES = 6
+
+
+def _inbox(spark, sf, root: str) -> str:
+    """The messages as a folder of files, dealt by the whole message."""
+    path = f"{root}/inbox"
+    S.stream_messages(spark, sf).select("key", "value").repartition(INBOX_FILES, "key", "value").write.parquet(path)
+    return path
+
+
+def _lose_last_commit(spark, checkpoint: str) -> None:
+    """Leave a checkpoint as a crash does that comes after a micro-batch's writes and before the
+    query's own commit: the query will replay its last epoch."""
+    files = Files(spark, checkpoint)
+    last = max(int(n) for n in files.names(f"{checkpoint}/commits") if n.isdigit())
+    files.delete(f"{checkpoint}/commits/{last}")
+
+
+def _ingest_with_replays(spark, sf) -> tuple[str, str]:
+    """The consumer over three micro-batches, its last one replayed after a lost commit; then a
+    second query that reads the whole inbox again in another split.  Raw table and dead letters."""
     configure(spark)
     root = scratch_dir(spark, "stream_ingest")
-    inbox = f"{root}/inbox"
-    S.stream_messages(spark, sf).select("key", "value").write.parquet(inbox)
-    target = f"{root}/raw_transactions"
-    for run in (1, 2):
-        consumer.drain(consumer.file_message_stream(spark, inbox), target,
-                       f"{root}/checkpoint-{run}", dead_letter_target=f"{root}/dead_letter",
-                       dedupe_keys=["transaction_id"],
-                       partition_by=["transaction_year", "transaction_month"])
+    inbox, target, dead = _inbox(spark, sf, root), f"{root}/raw_transactions", f"{root}/dead_letter"
+    keyed = {"dedupe_keys": ["transaction_id"], "partition_by": ["transaction_year", "transaction_month"]}
+    once = f"{root}/checkpoint"
+    for _ in range(2):
+        consumer.drain(consumer.file_message_stream(spark, inbox, INBOX_FILES // 3), target, once,
+                       dead_letter_target=dead, **keyed)
+        _lose_last_commit(spark, once)
+    consumer.drain(consumer.file_message_stream(spark, inbox, INBOX_FILES // 2), target, f"{root}/second", **keyed)
+    return target, dead
+
+
+def q_stream_ingest(spark, sf):
+    """Available-now consumer with exact de-duplication through the key index, over three
+    micro-batches, with a replayed epoch and a second query that reads every message again;
+    the target is partitioned by transaction year / month and read back."""
+    return present(spark.read.parquet(_ingest_with_replays(spark, sf)[0]).drop("_ingested_at"))
+
+
+def q_stream_dead_letters(spark, sf):
+    """The dead letters of the first query of ``stream_ingest``: each once, replay or not."""
+    return spark.read.parquet(_ingest_with_replays(spark, sf)[1]).select("key", "reason")
+
+
+def q_stream_state_dedup(spark, sf):
+    """The consumer with de-duplication in the state store over three micro-batches, its last one
+    replayed after a lost commit; every message comes within the delay."""
+    configure(spark)
+    root = scratch_dir(spark, "stream_state")
+    inbox, target, chk = _inbox(spark, sf, root), f"{root}/raw_transactions", f"{root}/checkpoint"
+    for _ in range(2):
+        consumer.finish(*consumer.start_with_state(consumer.file_message_stream(spark, inbox, INBOX_FILES // 3),
+                                                   target, chk, "1 day"))
+        _lose_last_commit(spark, chk)
     return present(spark.read.parquet(target).drop("_ingested_at"))
 
 
@@ -254,11 +333,12 @@ def q_publish_messages(spark, sf):
 def _dq(tests):
     def run(spark, sf):
         """Declared checks over the raw tables, the staging / intermediate views
-        and the materialised marts (the reference tests after building)."""
+        and the materialised marts (the reference tests after building).  What the
+        landing and the mart build counted while writing is not scanned for again."""
         wh = _wh(spark, sf)
         tables = {name: getattr(wh, name) for name in warehouse.MODELS if name not in warehouse.MARTS}
         tables.update(landing.marts(spark, sf))
-        return run_checks(tables, checks.DECLARED, tests, checks.SMALL_PARENTS)
+        return run_checks(tables, checks.DECLARED, tests, landing.logged_failures(spark, sf))
     return run
 
 
@@ -273,6 +353,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_transactions": q_fact_transactions,
     "surrogate_key": q_surrogate_key,
     "wide_transactions": q_wide_transactions,
+    "wide_colocated": q_wide_colocated,
+    "mart_footers": q_mart_footers,
+    "replace_rates": q_replace_rates,
     "summary_stats": q_summary_stats,
     "net_position": q_net_position,
     "spend_by_category": q_spend_by_category,
@@ -288,6 +371,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_parse": q_stream_parse,
     "stream_rejects": q_stream_rejects,
     "stream_ingest": q_stream_ingest,
+    "stream_dead_letters": q_stream_dead_letters,
+    "stream_state_dedup": q_stream_state_dedup,
     "dedup_append": q_dedup_append,
     "publish_messages": q_publish_messages,
     "dq_unique": _dq(("unique",)),

@@ -10,8 +10,8 @@ on whatever these return.  The same derivation is written as SQL CTEs in
 * exchange-rate extract = weekday order dates (shifted into 2020+) x {USD, EUR}
   from two ingestion runs, with padded codes, zero / null rates and revisions
 * rates documents       = one JSON document per month of clean extract rows
-* stream messages       = events rendered as JSON messages (defaults, bad
-  records, duplicates, three timestamp spellings)
+* stream messages       = events of five months rendered as JSON messages (defaults,
+  four kinds of bad records, duplicates, three timestamp spellings)
 """
 
 from __future__ import annotations
@@ -66,7 +66,7 @@ def transactions_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_f, F.lit("Income")).otherwise(F.lit("expense")).alias("category_type"),
         merchant.alias("merchant"),
         F.concat(merchant, F.lit(" - "), category).alias("description"),
-        tx_date.alias("transaction_date"),
+        F.when(k % 53 != 0, tx_date).alias("transaction_date"),
         (tx_date.cast("timestamp_ntz") + F.make_dt_interval(secs=(k % 86400).cast("int")))
         .alias("transaction_timestamp"),
     )
@@ -169,10 +169,14 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> (key, value) JSON messages as a producer would publish them.
 
     Keys absent from a message are built as null struct fields (to_json drops
-    them); one family carries an explicit JSON null for ``category``.
+    them); one family carries an explicit JSON null for ``category``.  Four families
+    cannot be read: text that is no JSON, no amount, an amount in quotes, and no
+    timestamp but a word.  The events are spread over five months.
     """
-    e = driver_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     i = F.col("event_id")
+    e = driver_table(spark, sf_dir, "events").select(
+        "event_id", (F.col("ts") + F.make_dt_interval(days=(i % 5 * 30).cast("int"))).alias("ts"), "user_id",
+        "event_type", "value")
     signup = F.col("event_type") == F.lit("signup")
 
     def absent_if(cond: Column, val: Column) -> Column:
@@ -183,6 +187,7 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts_text = F.when(form == 0, _iso(F.col("ts"))) \
         .when(form == 1, F.concat(_iso(F.col("ts")), F.lit("Z"))) \
         .otherwise(F.concat(_iso(F.col("ts")), F.lit("+01:00")))
+    ts_text = F.when(i % 89 == 0, F.lit("soon")).otherwise(ts_text)
     merchant = F.concat(F.lit("Shop "), (F.col("user_id") % 20).cast("string"))
     msg = F.struct(
         F.concat(F.lit("evt_"), i.cast("string")).alias("transaction_id"),
@@ -204,6 +209,8 @@ def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.to_json(msg)
     body = F.when(explicit_null_cat, F.concat(F.lit('{"category":null,'), F.substr(body, F.lit(2)))) \
         .otherwise(body)
+    quoted = F.regexp_replace(body, r'"amount":([^,]+)', r'"amount":"$1"')
+    body = F.when(i % 83 == 0, quoted).otherwise(body)
     value = F.when(i % 101 == 0, F.concat(F.lit("{not json "), i.cast("string"))).otherwise(body)
     msgs = e.select(F.concat(F.lit("acc_"), F.col("user_id").cast("string")).alias("key"),
                     value.alias("value"), "event_id", "ts")

@@ -145,7 +145,8 @@ def test_materialise_partitioned_fact(spark, tmp_path):
     counts = warehouse.materialise(wh, root, fact_partition_by=["transaction_date"])
     assert not any(p.is_file() for p in (tmp_path / "marts" / "_staging").rglob("*"))  # nothing is left behind
     fact = warehouse.read_marts(spark, root)["fact_transactions"]
-    assert any(d.startswith("transaction_date=") for d in os.listdir(f"{root}/fact_transactions"))
+    folder = warehouse.mart_folders(spark, root)["fact_transactions"]
+    assert any(d.startswith("transaction_date=") for d in os.listdir(folder))
     one_day = fact.filter("transaction_date = date'2024-01-05'")
     plan = one_day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
