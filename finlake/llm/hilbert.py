@@ -1,8 +1,8 @@
 """Operator 9: sharding by Hilbert-curve order (DataFrame functions only).
 
 Each metadata dimension is quantised into 2**bits cells of about equal depth
-(split points by ``approx_percentile`` over all rows; strings by the number that
-their first seven bytes spell, which keeps their order).  The cells are turned
+(split points by ``approx_percentile`` over all rows; a string counts as its rank
+among the distinct values of its column).  The cells are turned
 into the index on the Hilbert curve by a table of (state, cell bits) -> (index
 digit, next state), built here from the curve's Gray-code rule.  Rows are put in
 curve order (ties: id, then text checksum) by the library's distributed
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import stage
 from finlake.operators.keys import sequence_key
+from finlake.operators.ranges import dense_key
 
 
 def _gray(i: int) -> int:
@@ -90,11 +91,18 @@ def hilbert_index(cells: list[Column], bits: int) -> Column:
     return F.aggregate(levels, start, step, lambda acc: acc["index"])
 
 
-def as_number(col: Column, data_type: str) -> Column:
-    if data_type == "string":
-        head = F.rpad(F.hex(F.substring(F.encode(col, "utf-8"), 1, 7)), 14, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return col.cast("double")
+VALUES_BOUND = 1_000_000  # bytes of distinct values that may be broadcast
+
+
+def with_rank(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Add the rank of a string among the distinct values of its column (null for null).
+    The values are numbered in a distributed way; many of them are joined by a shuffle,
+    in which adaptive execution splits a hot value."""
+    values = df.select(F.col(column).alias("_value")).filter("_value IS NOT NULL").distinct()
+    ranks = stage(dense_key(values, ["_value"], name), "hilbert-ranks")
+    size = ranks.agg(F.coalesce(F.sum(F.octet_length("_value") + 16), F.lit(0))).first()[0]
+    ranks = F.broadcast(ranks) if size <= VALUES_BOUND else ranks
+    return df.join(ranks, df[column] == F.col("_value"), "left").drop("_value")
 
 
 def _cell(value: Column, splits: list[float]) -> Column:
@@ -105,13 +113,17 @@ def _cell(value: Column, splits: list[float]) -> Column:
 
 def hilbert_order(df: DataFrame, dimensions: list[str], bits: int = 6) -> DataFrame:
     """Add ``curve`` (long): the row's place on the curve over ``dimensions``."""
-    kinds = dict(df.dtypes)
-    numbers = {f"_d{i}": as_number(F.col(c), kinds[c]) for i, c in enumerate(dimensions)}
+    kinds, names = dict(df.dtypes), df.columns
+    numbers = {}
+    for i, c in enumerate(dimensions):
+        if kinds[c] == "string":
+            df = with_rank(df, c, f"_rank{i}")
+        numbers[f"_d{i}"] = F.col(f"_rank{i}" if kinds[c] == "string" else c).cast("double")
     share = [i / (1 << bits) for i in range(1, 1 << bits)]
     splits = df.select(*[v.alias(k) for k, v in numbers.items()]).agg(
         *[F.percentile_approx(k, share, 10_000).alias(k) for k in numbers]).first()
     cells = [_cell(v, splits[k] or []) for k, v in numbers.items()]
-    named = df.select("*", F.array(*cells).alias("_cells"))
+    named = df.select(*names, F.array(*cells).alias("_cells"))
     return named.withColumn("curve", hilbert_index(
         [F.col("_cells")[i] for i in range(len(cells))], bits)).drop("_cells")
 
@@ -119,9 +131,8 @@ def hilbert_order(df: DataFrame, dimensions: list[str], bits: int = 6) -> DataFr
 def shard_by_curve(df: DataFrame, dimensions: list[str], ties: list[str], shards: int = 8,
                    bits: int = 6) -> DataFrame:
     """Add curve, shard (0 .. shards - 1) and slot (gapless from 0 in its shard)."""
-    narrow = stage(df, "hilbert")
-    ordered = sequence_key(hilbert_order(narrow, dimensions, bits),
-                           [F.col("curve"), *[F.col(c).asc_nulls_first() for c in ties]], "_rank")
+    curved = stage(hilbert_order(stage(df, "hilbert"), dimensions, bits), "hilbert-curve")  # read more than once
+    ordered = sequence_key(curved, [F.col("curve"), *[F.col(c).asc_nulls_first() for c in ties]], "_rank")
     n = ordered.count()
     # shard s holds the ranks from ceil(s*n/shards) up to ceil((s+1)*n/shards) - 1
     out = ordered.withColumn("shard", F.expr(
