@@ -4,20 +4,21 @@ A line's key is the line without surrounding ASCII white space, A-Z
 lower-cased.  Keys of at least ``min_chars`` code points that occur in at least
 two documents lose all their lines except in the smallest document holding them.
 
-1. Documents are dealt by id.  Each such part lists its distinct line hashes
-   once, with the smallest and largest document that has the line, cut by hash
-   into shards.  A line that a third of all documents repeat is thus one entry
+1. Rows are dealt by id and text, so rows that share an id (or have none) are
+   spread.  Each such part lists its distinct line hashes once, with the smallest
+   and largest document that has the line, cut by hash into shards.  A line that a third of all documents repeat is thus one entry
    per part, never one per document.
 2. Each shard merges its lists and builds a minimal perfect hash over its
    distinct line hashes.  It addresses three arrays: a fingerprint, the number
    of documents (up to "two or more") and the owner, the smallest document.  The
    parts' lists probe these arrays, and every part gets back the hashes that are
    repeated, with their owners.
-3. The parts read their documents again and drop the lines that another
-   document owns.  Documents never join lines.
+3. Each part indexes the answers in the same way, with whole hashes as
+   fingerprints; its documents probe these arrays with all their lines and drop
+   those that another document owns.  Documents never join lines.
 
-Memory per task: one shard's distinct hashes, or one part's repeated ones; both
-shrink with ``spark.sql.shuffle.partitions``.
+Memory per task: one shard's distinct hashes, or one part's lines; both shrink
+with ``spark.sql.shuffle.partitions``.
 
 Defined results: null or empty text is one empty line; rows with one doc_id are
 one document; a null doc_id counts as larger than any other (all null ids are
@@ -35,11 +36,13 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import id_text, partitions
 
-NULL_ID = (1 << 63) - 1
+_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 SPACE = " \t\n\x0b\x0c\r"
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 _U = np.uint64
-_ENTRY = np.dtype([("h", "<u8"), ("low", "<i8"), ("high", "<i8")])
+# smallest and largest id of the documents with the line (low > high: none has an id), and
+# whether a row without an id has it
+_ENTRY = np.dtype([("h", "<u8"), ("low", "<i8"), ("high", "<i8"), ("none", "?")])
 _REPLY = np.dtype([("h", "<u8"), ("owner", "<i8")])
 
 
@@ -133,13 +136,14 @@ class LineIndex:
         keys = e["h"][start]
         low = np.minimum.reduceat(e["low"], start) if len(e) else e["low"]
         high = np.maximum.reduceat(e["high"], start) if len(e) else e["high"]
+        none = np.logical_or.reduceat(e["none"], start) if len(e) else e["none"]
         self.perfect = PerfectHash(keys)
         at = self.perfect(keys)
         self.fingerprint = np.empty(len(keys), np.uint32)
         self.count = np.empty(len(keys), np.uint8)
         self.owner = np.empty(len(keys), np.int64)
         self.fingerprint[at] = (keys & _U(0xFFFFFFFF)).astype(np.uint32)
-        self.count[at] = 1 + (low != high)
+        self.count[at] = 1 + ((low < high) | (low == high) & none)
         self.owner[at] = low
 
     def probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,21 +163,26 @@ def _list_lines(min_chars: int, shards: int):
             for part, doc, text in zip(b.column("_part").to_pylist(), b.column("_id").to_pylist(),
                                        b.column("text").to_pylist()):
                 own = seen.setdefault(part, {})
+                none = doc is None
                 for line in (text or "").split("\n"):
                     if len(line) >= min_chars and len(key := line_key(line)) >= min_chars:
                         h = key_hash(key)
                         got = own.get(h)
                         if got is None:
-                            own[h] = [doc, doc]
-                        elif doc < got[0]:
+                            got = own[h] = [_HIGH, _LOW, False]
+                        if none:
+                            got[2] = True
+                            continue
+                        if doc < got[0]:
                             got[0] = doc
-                        elif doc > got[1]:
+                        if doc > got[1]:
                             got[1] = doc
         for part, own in seen.items():
             e = np.empty(len(own), _ENTRY)
             e["h"] = np.fromiter(own.keys(), np.uint64, len(own))
             e["low"] = np.fromiter((v[0] for v in own.values()), np.int64, len(own))
             e["high"] = np.fromiter((v[1] for v in own.values()), np.int64, len(own))
+            e["none"] = np.fromiter((v[2] for v in own.values()), bool, len(own))
             shard = (e["h"] % _U(shards)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
             e, shard = e[order], shard[order]
@@ -195,7 +204,7 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     for part, e in zip(pdf["_part"], lists):
         repeated, owner = index.probe(e["h"])
         # a part whose documents with the line are all the owner keeps it whole
-        told = repeated & (owner != e["high"]) | repeated & (owner != e["low"])
+        told = repeated & (e["none"] | (e["low"] < e["high"]) | (e["low"] == e["high"]) & (e["low"] != owner))
         r = np.empty(int(told.sum()), _REPLY)
         r["h"], r["owner"] = e["h"][told], owner[told]
         if len(r):
@@ -203,23 +212,45 @@ def _answer(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["_part", "reply"])
 
 
+class PartIndex:
+    """The repeated lines of one part: a perfect hash addresses their hashes and owners."""
+
+    def __init__(self, replies: list[bytes]):
+        r = np.concatenate([np.frombuffer(x, _REPLY) for x in replies]) if replies else np.empty(0, _REPLY)
+        self.perfect = PerfectHash(r["h"])
+        at = self.perfect(r["h"])
+        self.known, self.owner = np.empty(len(r), np.uint64), np.empty(len(r), np.int64)
+        self.known[at], self.owner[at] = r["h"], r["owner"]
+
+    def probe(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which lines are repeated ones, and the documents that keep them."""
+        if not len(self.known):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        at = self.perfect(keys)
+        return (at >= 0) & (self.known[at] == keys), self.owner[at]
+
+
 def _drop(min_chars: int, keep: list[str]):
     def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
-        owner: dict[int, int] = {}
-        for x in replies.column("reply").to_pylist():
-            r = np.frombuffer(x, _REPLY)
-            owner.update(zip(r["h"].tolist(), r["owner"].tolist()))
-        kept, before, dropped = [], [], []
-        for doc, text in zip(docs.column("_id").to_pylist(), docs.column("text").to_pylist()):
+        index = PartIndex(replies.column("reply").to_pylist())
+        ids, texts = docs.column("_id").to_pylist(), docs.column("text").to_pylist()
+        before, row, place, keys = [], [], [], []
+        for r, text in enumerate(texts):
             lines = (text or "").split("\n")
-            left = lines
-            if owner:
-                left = [x for x in lines if not (
-                    len(x) >= min_chars and len(k := line_key(x)) >= min_chars
-                    and owner.get(key_hash(k), doc) != doc)]
-            kept.append("\n".join(left))
             before.append(len(lines))
-            dropped.append(len(lines) - len(left))
+            for i, x in enumerate(lines):
+                if len(x) >= min_chars and len(k := line_key(x)) >= min_chars:
+                    row.append(r)
+                    place.append(i)
+                    keys.append(key_hash(k))
+        repeated, owner = index.probe(np.array(keys, np.uint64))
+        gone: dict[int, set[int]] = {}
+        for j in np.flatnonzero(repeated).tolist():
+            if ids[row[j]] is None or ids[row[j]] != owner[j]:
+                gone.setdefault(row[j], set()).add(place[j])
+        kept = ["\n".join([x for i, x in enumerate((t or "").split("\n")) if i not in gone[r]]) if r in gone else t or ""
+                for r, t in enumerate(texts)]
+        dropped = [len(gone.get(r, ())) for r in range(len(texts))]
         return pa.table({"_id": docs.column("_id"), "text": pa.array(kept, pa.string()),
                          "n_lines": pa.array(before, pa.int64()),
                          "n_dropped": pa.array(dropped, pa.int64()),
@@ -234,10 +265,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, keep: list[str] | None = N
     n = partitions(spark)
     keep = [c for c in keep or [] if c not in ("doc_id", "text")]
     base = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("_id"),
+        F.col("doc_id").cast("long").alias("_id"),
         F.col("text").cast("string").alias("text"),
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
-    base = base.select(F.pmod(F.xxhash64("_id"), F.lit(n)).alias("_part"), "*")
+    base = base.select(F.pmod(F.xxhash64("_id", "text"), F.lit(n)).alias("_part"), "*")
     lines = base.select("_part", "_id", "text").repartition(n, "_part").mapInArrow(
         _list_lines(min_chars, n), "shard long, _part long, entries binary")
     replies = lines.groupBy("shard").applyInPandas(_answer, "_part long, reply binary")
@@ -247,7 +278,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, keep: list[str] | None = N
         _drop(min_chars, carried), ", ".join(
             ["_id long, text string, n_lines long, n_dropped long",
              *[f"{c} {kinds[c]}" for c in carried]]))
-    return out.select(F.when(F.col("_id") != NULL_ID, F.col("_id")).alias("doc_id"), "text",
+    return out.select(F.col("_id").alias("doc_id"), "text",
                       "n_lines", "n_dropped", *[F.col(k).alias(c) for k, c in zip(carried, keep)])
 
 
