@@ -62,6 +62,14 @@ def id_text(df: DataFrame) -> DataFrame:
                      F.col("text").cast("string").alias("text"))
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that ``df`` does not have (Spark compares names without case)."""
+    taken, name = {c.lower() for c in df.columns}, f"_{stem}"
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_digest(text: Column) -> Column:
     """16 bytes that tell texts apart; null for a null text."""
     return F.unhex(F.md5(text.cast("string").cast("binary")))
