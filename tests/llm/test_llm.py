@@ -148,7 +148,8 @@ def test_decontamination(spark, odd, empty):
                                   (3, "Well, SIX short words; stand right here!"), (4, "six short words stood right there"),
                                   (5, " ".join(w[:6])), (6, None), (7, "a b"), (None, items[0][1])], "doc_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontaminate.find_leaks(docs, bench).collect()}
-    assert set(got) == {(1, 1), (2, 1), (3, 2), (None, 1)}
+    assert set(got) == {(1, 1), (2, 1), (3, 2), (None, 1), (7, 4)}
+    assert [k for k, r in got.items() if r.short] == [(7, 4)] and got[7, 4].score == 2
     assert (got[1, 1].doc_start, got[1, 1].doc_end, got[1, 1].n_equal) == (1, 41, 40)
     assert got[2, 1].n_substituted == 4 and got[2, 1].n_equal == 36
     assert {r.doc_id for r in decontaminate.remove_leaks(docs, bench).collect()} == {4, 5, 6, 7}
@@ -178,17 +179,30 @@ def test_masks_are_complete():
     assert avoiding_score(decontaminate.MASKS, decontaminate.MIN_SCORE) < decontaminate.MIN_SCORE
     assert all("1" == m[0] == m[-1] and len(m) <= decontaminate.MIN_SCORE for m in decontaminate.MASKS)
     assert avoiding_score(("110100110101", "111001011", "1011000111"), 10) == 10
+    for n in range(decontaminate.MIN_WORDS, decontaminate.MIN_SCORE):  # items too short for MIN_SCORE
+        need = n - 2 * (n // 7)
+        for row in range(1 << n):
+            bits = f"{row:0{n}b}"
+            if 2 * bits.count("1") - n >= need:
+                assert any(all(bits[i + j] == "1" for j, b in enumerate(m) if b == "1")
+                           for m in decontaminate.MASKS for i in range(n - len(m) + 1)), bits
 
 
 def brute_leaks(docs, items):
     """Every item laid at every shift of every document."""
     words = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
-    out = {}
+    out, short = {}, set()
     for d, t in docs:
         for i, x in items:
             w, v = words(t), words(x)
+            if not v:
+                continue
             if len(v) < decontaminate.MIN_WORDS:
+                at = next((a for a in range(len(w) - len(v) + 1) if w[a:a + len(v)] == v), None)
+                if at is not None:
+                    short.add((d, i, at, at + len(v), 0, len(v), 0, len(v), True))
                 continue
+            need = decontaminate.MIN_SCORE if len(v) >= decontaminate.MIN_SCORE else len(v) - 2 * (len(v) // 7)
             for shift in range(1 - len(v), len(w)):
                 low, now, since = max(shift, 0), 0, 0
                 top = (0, 0, 0)
@@ -199,23 +213,23 @@ def brute_leaks(docs, items):
                     if now > top[0]:
                         top = (now, since, at + 1)
                 score, a, b = top
-                if score >= min(decontaminate.MIN_SCORE, len(v)):
+                if score >= need:
                     r = (score, -a, b, a - shift, (b - a + score) // 2, (b - a - score) // 2)
                     out[d, i] = max(out.get((d, i), r), r)
-    return {(d, i, -r[1], r[2], r[3], r[4], r[5], r[0]) for (d, i), r in out.items()}
+    return short | {(d, i, -r[1], r[2], r[3], r[4], r[5], r[0], False) for (d, i), r in out.items()}
 
 
 def test_leaks_against_every_shift(spark):
     rng = np.random.default_rng(6)
-    lengths = [4, 5, 6, 9, 10, 11, 12, 16, 20, 20, 59, 59, 200]
+    lengths = [4, 5, 6, 9, 7, 8, 10, 11, 12, 16, 20, 20, 59, 59, 200]
     items = [(i, " ".join(f"i{i}w{rng.integers(40)}" for _ in range(n))) for i, n in enumerate(lengths)]
-    items += [(None, "a benchmark passage that has no id of its own but still counts"), (3, items[7][1]), (3, items[8][1])]
-    docs = [(None, items[-3][1])]
+    items += [(None, "a benchmark passage that has no id of its own but still counts"), (3, items[9][1]), (3, items[10][1]), (90, "i0w1"), (91, "")]
+    docs = [(None, items[15][1])]
 
     def plant(item, gone):
         w = items[item][1].split()
         docs.append((len(docs), " ".join(["before"] * int(rng.integers(4)) + [f"sub{i}" if i in gone else x for i, x in enumerate(w)])))
-    plant(7, (2, 6, 8))
+    plant(9, (2, 6, 8))
     for item, n in enumerate(lengths):
         for every in (2, 3, 4):
             for first in range(every):
@@ -230,7 +244,8 @@ def test_leaks_against_every_shift(spark):
     want = brute_leaks(docs, items)
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
     found = {(d, i) for d, i, *_ in want}
-    assert {(1, 7), (None, None), (1, 3)} <= found and len(found) > 200
+    assert {(1, 9), (None, None), (1, 3)} <= found and len(found) > 200
+    assert any(d for d, i, *r in want if i == 4 and r[4] == 1)  # one of seven words substituted
 
 
 def test_fingerprints(odd, empty):
@@ -288,7 +303,7 @@ def segmentations(word, vocab, p):
 
     def rest(at):
         return sum(p[inner[word[at:j]] + (vocab.size if j == len(word) else 0)] * (1.0 if j == len(word) else rest(j))
-                   for j in range(at + 1, min(len(word), at + lattice.MAX_PIECE) + 1) if word[at:j] in inner)
+                   for j in range(at + 1, min(len(word), at + max(vocab.longest)) + 1) if word[at:j] in inner)
     total = p[first[b""]] * rest(0)
     for j in range(1, len(word) + 1):
         if word[:j] in first:
@@ -298,7 +313,8 @@ def segmentations(word, vocab, p):
 
 def test_lattice_sums_all_segmentations():
     vocab = lattice.pieces(lattice.default_vocabulary())
-    words = [b"the", b"thering", "été".encode(), b"q", b"zzxq."]
+    words = [b"the", b"thering", "été".encode(), b"q", b"zzxq.", "населения".encode()]
+    assert max(vocab.longest) == 24 and "населения".encode() in vocab.names  # no piece is left out for its length
     p = vocab.fit(np.zeros(len(vocab.prior)))
     for _ in range(2):
         for w, got in zip(words, lattice.log_marginals(vocab, p, words)):
@@ -378,7 +394,8 @@ def test_toxicity(spark, odd, empty):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF).toPandas()
     want = con.execute(queries.ORACLE_SQL[name]).df()[list(got.columns)]
     cols = list(got.columns)

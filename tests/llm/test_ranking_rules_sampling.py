@@ -190,19 +190,6 @@ def test_resampling_empty(spark, odd, empty):
     assert Counter(map(tuple, resampling.resample(odd, target.filter("false")).collect())) == brute_resample(TEXTS, [])
 
 
-@drivers
-@pytest.mark.parametrize("name", ["op11_lexical_search", "op12_quality_rules"])
-def test_queries_match_sql(spark, name):
-    con = duckdb.connect()
-    for t in ("documents", "benchmark"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    got = queries.QUERIES[name](spark, SF)
-    want = con.execute(queries.ORACLE_SQL[name])
-    names = [c[0] for c in want.description]
-    assert sorted(names) == sorted(got.columns)
-    assert Counter(map(tuple, got.select(*names).collect())) == Counter(want.fetchall())
-
-
 @drivers
 def test_resampling_query_on_driver_tables(spark):
     con = duckdb.connect()
