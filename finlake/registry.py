@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from finlake.operators.quality import run_checks
+from finlake.operators.quality import PER_ROW, run_checks
 from finlake.operators.ranges import dense_key
 from finlake.plans import checks, conversion, dims, ingest, reports, staging, warehouse
 from finlake.session import configure, scratch_dir
@@ -338,7 +338,8 @@ def _dq(tests):
         wh = _wh(spark, sf)
         tables = {name: getattr(wh, name) for name in warehouse.MODELS if name not in warehouse.MARTS}
         tables.update(landing.marts(spark, sf))
-        return run_checks(tables, checks.DECLARED, tests, landing.logged_failures(spark, sf))
+        logged = landing.logged_failures(spark, sf) if set(tests) & set(PER_ROW) else None
+        return run_checks(tables, checks.DECLARED, tests, logged)
     return run
 
 

@@ -11,7 +11,8 @@ such a row is found, too, while two different rows without a key both stay.
 
 The index is written with the rows it describes, in one ledger batch.  Each
 append adds at most one file per bucket; ``compact`` merges them into a new
-version; the description file of the highest version counts.
+version, with as many buckets as the keys have come to need; the description file
+of the highest version counts.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from finlake.sinks.files import Files
 KEY = "_key"
 AUDIT = ("_ingested_at",)
 FILES_PER_BUCKET = 32
+KEYS_PER_BUCKET = 500_000
 
 
 def key_of(columns: Sequence[str], keys: Sequence[str]) -> Column:
@@ -41,6 +43,10 @@ def key_of(columns: Sequence[str], keys: Sequence[str]) -> Column:
         .otherwise(F.concat(F.lit("d"), F.sha2(rest, 256)))
 
 
+def _buckets(keys: int) -> int:
+    return max(1, -(-keys // KEYS_PER_BUCKET))
+
+
 def _newest(files: Files, root: str) -> str | None:
     """The description of the index's current version."""
     names = sorted(n for n in files.names(f"{root}/_index") if n.endswith(".json"))
@@ -49,13 +55,13 @@ def _newest(files: Files, root: str) -> str | None:
 
 class KeyIndex:
     def __init__(self, spark: SparkSession, folder: str, keys: Sequence[str], buckets: int | None = None):
-        """The index of the table in ``folder``; ``buckets`` counts for a new one only."""
+        """The index of the table in ``folder``; ``buckets`` counts for a new one only (default: by
+        the number of rows it is made for)."""
         self.spark, self.root, self.keys = spark, f"{folder.rstrip('/')}/_keys", list(keys)
         self.files = Files(spark, self.root)
         text = _newest(self.files, self.root)
         self.known = text is not None
-        have = json.loads(text) if text else {
-            "keys": self.keys, "version": 0, "buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))}
+        have = json.loads(text) if text else {"keys": self.keys, "version": 0, "buckets": buckets}
         if have["keys"] != self.keys:
             raise ValueError(f"the table is indexed by {have['keys']}, not by {self.keys}")
         self.version, self.buckets = have["version"], have["buckets"]
@@ -70,9 +76,10 @@ class KeyIndex:
     def location(self) -> str:
         return f"{self.root}/v{self.version}"
 
-    def create(self, current: DataFrame | None = None) -> None:
-        """Make the index; rows that the table already has are listed once."""
+    def create(self, rows: int, current: DataFrame | None = None) -> None:
+        """Make the index of a table of so many rows; those that it has already are listed."""
         if not self.known:
+            self.buckets = self.buckets or _buckets(rows)
             if current is not None:
                 self.write(current.select(key_of(current.columns, self.keys).alias(KEY)).distinct(), self.location)
             self._point()
@@ -96,7 +103,7 @@ class KeyIndex:
 
     def read(self) -> DataFrame | None:
         """The keys, as a bucketed table of this session's catalog."""
-        if next(self.files.data_files(self.location), None) is None:
+        if not self.known or next(self.files.data_files(self.location), None) is None:
             return None
         name = self._table_name(self.location)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({KEY} STRING) USING parquet "
@@ -120,7 +127,7 @@ class KeyIndex:
         old = self.location
         keys = self.spark.read.schema(f"{KEY} STRING").parquet(old)  # as plain files: the write deals them again
         name = self._table_name(old)
-        self.version += 1
+        self.version, self.buckets = self.version + 1, max(self.buckets, _buckets(keys.count()))
         self.write(keys, self.location)
         self._point()
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -25,7 +25,7 @@ from finlake.sinks import check_log
 from finlake.sinks.key_index import KEY, KeyIndex, key_of
 from finlake.sinks.ledger import Ledger
 from finlake.sinks.versions import Versions, resolve
-from finlake.sources.tables import _is_path, read_table, table_exists
+from finlake.sources.tables import _is_path, read_table, row_count, table_exists
 
 
 class SchemaMismatch(ValueError):
@@ -154,7 +154,8 @@ def _stage(ledger: Ledger, query: str, epoch: int, out: Output) -> list[dict]:
     folder = table_folder(spark, out.target)
     if out.dedupe_keys:
         index = KeyIndex(spark, folder, out.dedupe_keys)
-        index.create(current)
+        if current is not None and not index.known:
+            index.create(row_count(spark, out.target), current)
         rows = index.new_rows(rows).select(*rows.columns)
     else:
         index = KeyIndex.of(spark, folder)
@@ -169,6 +170,7 @@ def _stage(ledger: Ledger, query: str, epoch: int, out: Output) -> list[dict]:
     entries = [{"name": out.name, "staged": path, "target": folder, "rows": n,
                 "failures": failures if out.checks and _is_path(out.target) else None}]
     if index:
+        index.create(n)
         keys = spark.read.schema(rows.schema).parquet(path).select(key_of(rows.columns, index.keys).alias(KEY))
         path = ledger.staging(query, epoch, f"{out.name}-keys")
         index.write(keys, path)

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from finlake.sinks import key_index
 from finlake.sinks import tables as sink
 from finlake.sinks.key_index import KEY, KeyIndex
 from finlake.sinks.ledger import Ledger, stream_id
@@ -137,6 +138,7 @@ def test_stream_in_any_split_with_a_lost_commit(spark, tmp_path):
 
 def test_append_shuffles_the_batch_and_never_the_index(spark, tmp_path):
     target = str(tmp_path / "t")
+    KeyIndex(spark, target, ["id"], buckets=4).create(0)
     sink.load(spark.range(1000).selectExpr("id", "id * 2 AS v"), target, dedupe_keys=["id"])
     was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
@@ -176,15 +178,16 @@ def test_index_of_a_table_that_was_loaded_without_one(spark, tmp_path):
         sink.load(rows, target, dedupe_keys=["v"])
 
 
-def test_compaction_keeps_every_key(spark, tmp_path):
+def test_compaction_keeps_every_key(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(key_index, "KEYS_PER_BUCKET", 50)
     target = str(tmp_path / "t")
     for i in range(4):
         sink.load(spark.range(i * 50, i * 50 + 60).selectExpr("id", "id AS v"), target, dedupe_keys=["id"])
     index = KeyIndex.of(spark, target)
     files = lambda: len(list(index.files.data_files(index.location)))
     before = index.read().count()
-    assert files() > index.buckets and index.compact(1)
-    assert files() <= index.buckets and index.read().count() == before == 210
+    assert index.buckets == 2 < files() and index.compact(1)
+    assert index.buckets == 5 >= files() and index.read().count() == before == 210
     assert KeyIndex.of(spark, target).version == 1
     assert sink.load(spark.range(0, 211).selectExpr("id", "id AS v"), target, dedupe_keys=["id"]) == 1
 
