@@ -15,13 +15,15 @@ Texts become sets of distinct five-word shingles; two link when
    set is checked against the others.  A set that links with its hub takes over
    the hub's class, so pairs inside a class are never compared: a group of a
    thousand near copies costs about a thousand comparisons.
-5. *Exact round.*  Lists that still hold several classes are walked in the order
-   of size: a walk ends at the first set too large to link.  Pairs with positions
-   too late to leave enough overlap and pairs of one class are visited and dropped
-   (the position only filters, it never ends or jumps a walk), and a 512-bit
-   parity map bounds the overlap from above.  Long lists are cut by a hash of the
-   set into blocks that different tasks pair up, each with every other.  What remains is compared
-   exactly on whole texts.
+5. *Exact round: block skips.*  Lists that still hold several classes are cut into
+   blocks of ``ENTRIES`` entries by size class and position.  Two blocks are skipped
+   whole when their sizes are too far apart, when the best room that a position in
+   them leaves cannot reach the overlap that their smallest sizes need, or when both
+   hold the same single class.  In blocks that are not skipped pairs are tested alike one by
+   one, and a 512-bit parity map bounds the overlap from above.  (Lists of a few
+   entries are walked by size, many at a time.)  Very long lists are dealt by a hash of
+   the set over tasks that pair up the parts.  What remains is compared exactly on
+   whole texts.
 
 Every link between different texts is either compared exactly or lies inside one
 class.  Nothing is capped.  Hubs with many partners are salted.
@@ -43,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from finlake.llm.common import id_text, partitions, stage, text_digest
+from finlake.llm.common import id_text, partitions, stage, text_digest, tidy
 from finlake.llm.components import components
 from finlake.llm.words import shingles
 
@@ -51,7 +53,8 @@ WORDS = 5
 NUM, DEN = 4, 5  # similarity at least NUM / DEN
 HEAVY_MIN, HEAVY_MAX = 8, 200_000  # listed frequent shingles: at least so often, at most so many
 MAP_LONGS = 8  # 512-bit parity map
-BLOCK = 4096  # entries of one list in one block
+BLOCK = 4096  # entries of one list in one task's part
+ENTRIES = 64  # entries of one (size class, position) block
 SALT = 1000  # partners of a hub compared in one group
 IDS_BOUND = 1_000_000  # ids that may be broadcast (16 MB); beyond, a shuffled join
 HUB_ROUNDS = 2
@@ -128,8 +131,8 @@ def _heavy_task(most: int):
 def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingle numbers (ascending) and their counts, over all texts."""
     n = partitions(docs.sparkSession)
-    counted = docs.select("text").mapInArrow(_count_task(n), "bucket int, numbers binary") \
-        .repartitionById(n, "bucket").mapInArrow(_heavy_task(HEAVY_MAX // n + 1), "number long, n long")
+    counted = docs.select("text").mapInArrow(tidy(_count_task(n)), "bucket int, numbers binary") \
+        .repartitionById(n, "bucket").mapInArrow(tidy(_heavy_task(HEAVY_MAX // n + 1)), "number long, n long")
     got = counted.orderBy(F.col("n").desc(), "number").limit(HEAVY_MAX).collect()
     x = np.array([r["number"] for r in got], np.uint64)
     c = np.array([r["n"] for r in got], np.int64)
@@ -253,15 +256,14 @@ def _cross_pairs(index: DataFrame, labels: DataFrame | None, maps: DataFrame) ->
                        "_own", "id", "n", "pos", "label", "map")
     n = partitions(index.sparkSession)
     return rows.repartition(n, "token", "_b1", "_b2").sortWithinPartitions(
-        "token", "_b1", "_b2", "n", "pos", "id").mapInArrow(_walk_lists, "a long, b long").distinct()
+        "token", "_b1", "_b2", "n", "pos", "id").mapInArrow(tidy(_walk_lists), "a long, b long").distinct()
 
 
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
 def _walk_lists(batches):
-    """Rows sorted by list block, then size and position: step d compares every
-    entry with the d-th after it, and drops entries whose walk has ended."""
+    """Rows sorted by list part, then size and position: whole lists at a time."""
     rest = None
     names = ["token", "_b1", "_b2", "_own", "id", "n", "pos", "label"]
     for b in batches:
@@ -284,6 +286,88 @@ def _walk_lists(batches):
 
 
 def _compare(c):
+    """Candidate pairs of whole lists: long ones by blocks, short ones by a common walk."""
+    k = len(c["id"])
+    change = np.zeros(k, bool)
+    for x in ("token", "_b1", "_b2"):
+        change[1:] |= c[x][1:] != c[x][:-1]
+    start = np.r_[0, np.flatnonzero(change)] if k else np.zeros(0, np.int64)
+    size = np.diff(np.r_[start, k])
+    out: set[tuple[int, int]] = set()
+    for lo, n in zip(start[size > 2 * ENTRIES].tolist(), size[size > 2 * ENTRIES].tolist()):
+        for a, b in BlockedList({x: v[lo:lo + n] for x, v in c.items()}).candidates():
+            out.update(zip(a.tolist(), b.tolist()))
+            if len(out) > 200_000:
+                yield _pairs_batch(out)
+                out = set()
+    if out:
+        yield _pairs_batch(out)
+    short = np.repeat(size <= 2 * ENTRIES, size)
+    yield from _walk({x: v[short] for x, v in c.items()})
+
+
+def _allowed(c, x, y):
+    """Which entry pairs may link and are to be compared here."""
+    n1, n2 = c["n"][x].astype(np.int64), c["n"][y].astype(np.int64)
+    ok = (c["label"][x] != c["label"][y]) & (c["id"][x] != c["id"][y])
+    # parts b1 < b2 pair up entries of the two; inside one part b1 = b2
+    ok &= (c["_b1"][x] == c["_b2"][x]) | (c["_own"][x] != c["_own"][y])
+    ok &= np.minimum(n1, n2) * DEN >= np.maximum(n1, n2) * NUM
+    room = np.minimum(n1 - c["pos"][x], n2 - c["pos"][y])
+    return ok & (room * (NUM + DEN) >= NUM * (n1 + n2))
+
+
+def _maps_allow(c, x, y):
+    differ = _POP[(c["map"][x] ^ c["map"][y]).view(np.uint8)].sum(1)
+    total = c["n"][x].astype(np.int64) + c["n"][y]
+    return (total - differ) * (NUM + DEN) >= 2 * NUM * total
+
+
+class BlockedList:
+    """One list in blocks by size class (a factor of DEN / NUM each) and position."""
+
+    def __init__(self, c):
+        level = np.floor(np.log(np.maximum(c["n"], 1)) / np.log(DEN / NUM)).astype(np.int64)
+        order = np.lexsort((c["n"], c["pos"], level))
+        self.c = c = {x: v[order] for x, v in c.items()}
+        level = level[order]
+        first = np.flatnonzero(np.r_[True, level[1:] != level[:-1]])
+        place = np.arange(len(level)) - np.repeat(first, np.diff(np.r_[first, len(level)]))
+        self.start = np.flatnonzero(place % ENTRIES == 0)
+        self.stop = np.r_[self.start[1:], len(level)]
+        n = c["n"].astype(np.int64)
+        low, high = np.minimum.reduceat(n, self.start), np.maximum.reduceat(n, self.start)
+        room = np.maximum.reduceat(n - c["pos"], self.start)
+        one = np.minimum.reduceat(c["label"], self.start), np.maximum.reduceat(c["label"], self.start)
+        single = np.where(one[0] == one[1], one[0], -1)
+        pair = lambda f, v: f(v[:, None], v[None, :])
+        keep = pair(np.minimum, room) * (NUM + DEN) >= NUM * (low[:, None] + low[None, :])
+        keep &= (high[:, None] * DEN >= low[None, :] * NUM) & (high[None, :] * DEN >= low[:, None] * NUM)
+        keep &= ~((single[:, None] == single[None, :]) & (single >= 0)[:, None])
+        self.keep = np.triu(keep)
+
+    def skipped(self) -> tuple[int, int]:
+        """Block pairs skipped, and all."""
+        total = len(self.start) * (len(self.start) + 1) // 2
+        return total - int(self.keep.sum()), total
+
+    def candidates(self):
+        """Pairs (smaller id, larger id) block by block."""
+        for i, j in zip(*np.nonzero(self.keep)):
+            x, y = np.meshgrid(np.arange(self.start[i], self.stop[i]), np.arange(self.start[j], self.stop[j]), indexing="ij")
+            x, y = x.ravel(), y.ravel()
+            if i == j:
+                x, y = x[x < y], y[x < y]
+            ok = _allowed(self.c, x, y)
+            x, y = x[ok], y[ok]
+            ok = _maps_allow(self.c, x, y) if len(x) else np.zeros(0, bool)
+            a, b = self.c["id"][x[ok]], self.c["id"][y[ok]]
+            if len(a):
+                yield np.minimum(a, b), np.maximum(a, b)
+
+
+def _walk(c):
+    """Short lists: step d compares every entry with the d-th after it."""
     k = len(c["id"])
     alive, d = np.arange(k), 0
     out: set[tuple[int, int]] = set()
@@ -297,17 +381,9 @@ def _compare(c):
         on &= c["n"][j].astype(np.int64) * NUM <= c["n"][alive].astype(np.int64) * DEN  # later ones are larger still
         alive = alive[on]
         j = alive + d
-        n1, n2 = c["n"][alive].astype(np.int64), c["n"][j].astype(np.int64)
-        ok = (c["label"][alive] != c["label"][j]) & (c["id"][alive] != c["id"][j])
-        # blocks b1 < b2 pair up entries of the two; inside one block b1 = b2
-        ok &= (c["_b1"][alive] == c["_b2"][alive]) | (c["_own"][alive] != c["_own"][j])
-        room = np.minimum(n1 - c["pos"][alive], n2 - c["pos"][j])
-        ok &= room * (NUM + DEN) >= NUM * (n1 + n2)
-        at = np.flatnonzero(ok)
+        at = np.flatnonzero(_allowed(c, alive, j))
         if len(at):
-            differ = _POP[(c["map"][alive[at]] ^ c["map"][j[at]]).view(np.uint8)].sum(1)
-            total = n1[at] + n2[at]
-            at = at[(total - differ) * (NUM + DEN) >= 2 * NUM * total]
+            at = at[_maps_allow(c, alive[at], j[at])]
             x, y = c["id"][alive[at]], c["id"][j[at]]
             out.update(zip(np.minimum(x, y).tolist(), np.maximum(x, y).tolist()))
         if len(out) > 200_000:
@@ -359,7 +435,7 @@ def verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     rows = need.join(texts.select("id", "text").distinct(), "id") \
         .select("a", "_salt", "_role", "id", "text")
     return rows.repartition(partitions(spark), "a", "_salt").sortWithinPartitions("a", "_salt", "_role", "id") \
-        .mapInArrow(_verify_task, "a long, b long").distinct()
+        .mapInArrow(tidy(_verify_task), "a long, b long").distinct()
 
 
 def _compose(labels: DataFrame | None, more: DataFrame | None) -> DataFrame | None:
@@ -400,7 +476,7 @@ def _classes(docs: DataFrame, by_id: bool) -> DataFrame:
     row with an equal set) and ``top`` (smallest row of the class); both null without shingles."""
     base = id_text(docs).withColumn("digest", text_digest(F.col("text")))
     heavy, counts = frequent_shingles(base)
-    sets = stage(base.mapInArrow(_sets_task(heavy, counts), _SETS).withColumn("row", F.monotonically_increasing_id()),
+    sets = stage(base.mapInArrow(tidy(_sets_task(heavy, counts)), _SETS).withColumn("row", F.monotonically_increasing_id()),
                  "sets")
     keys = ["n", "f1", "f2"]
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest", "row")
