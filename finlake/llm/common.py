@@ -6,10 +6,13 @@ executors), so a lost executor costs a re-read, never a result.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +50,22 @@ def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable) -> Callable:
+    """A task function that hands freed memory back to the system when it ends: Python workers are
+    reused, and what one stage has grown they would keep beside the next one's."""
+    def wrapped(batches):
+        yield from run(batches)
+        release()
+    return wrapped
+
+
+def release() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import id_text, partitions
+from finlake.llm.common import id_text, partitions, release, tidy
 
 _LOW, _HIGH = -(1 << 63), (1 << 63) - 1
 SPACE = " \t\n\x0b\x0c\r"
@@ -251,6 +251,7 @@ def _drop(min_chars: int, keep: list[str]):
         kept = ["\n".join([x for i, x in enumerate((t or "").split("\n")) if i not in gone[r]]) if r in gone else t or ""
                 for r, t in enumerate(texts)]
         dropped = [len(gone.get(r, ())) for r in range(len(texts))]
+        release()
         return pa.table({"_id": docs.column("_id"), "text": pa.array(kept, pa.string()),
                          "n_lines": pa.array(before, pa.int64()),
                          "n_dropped": pa.array(dropped, pa.int64()),
@@ -270,7 +271,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, keep: list[str] | None = N
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)])
     base = base.select(F.pmod(F.xxhash64("_id", "text"), F.lit(n)).alias("_part"), "*")
     lines = base.select("_part", "_id", "text").repartition(n, "_part").mapInArrow(
-        _list_lines(min_chars, n), "shard long, _part long, entries binary")
+        tidy(_list_lines(min_chars, n)), "shard long, _part long, entries binary")
     replies = lines.groupBy("shard").applyInPandas(_answer, "_part long, reply binary")
     carried = [f"_k{i}" for i in range(len(keep))]
     kinds = {f.name: f.dataType.simpleString() for f in base.schema.fields}
