@@ -44,7 +44,6 @@ from pyspark.sql import functions as F
 
 from finlake.llm.common import fold, id_text, stage
 
-MAX_PIECE = 16  # bytes; longer pieces (rules of dashes and the like) are left out
 PRIOR = 2000.0  # tokens that the existing scores count for
 EM_STEPS = 3
 DISCOUNT = 0.7
@@ -79,7 +78,7 @@ class Pieces:
                 continue
             to, name = (first, name[1:]) if name.startswith("▁") else (inner, name)
             data = name.replace("▁", " ").encode().lower()
-            if len(data) <= MAX_PIECE and b" " not in data and rank <= size:
+            if b" " not in data and rank <= size:
                 to[data] = to.get(data, 0.0) + 1 / (rank + 3)
         first.setdefault(b"", 1 / (size + 3))
         inner.pop(b"", None)
@@ -187,7 +186,7 @@ def _by_length(words: list[bytes]):
     i = 0
     while i < len(order):
         size = len(words[order[i]])
-        most = max(1, 200_000 // (size * min(size, MAX_PIECE)))
+        most = max(1, 200_000 // (size * min(size, 16)))
         j = i
         while j < len(order) and j - i < most and len(words[order[j]]) == size:
             j += 1
