@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from finlake.llm.common import id_text, partitions
+from finlake.operators.ranges import range_of, split_points
 
 LEAF_CHARS = 160
 SECTION_CLASSES = 8
@@ -212,37 +213,30 @@ def _compare(doc, nxt):
             likeness(tree, tree_e), likeness(tree, nxt[2]))
 
 
-NULL_ID = -(1 << 63)
-
-
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Fingerprint every text and the text edited with its neighbour in
     descending id order (ties: by text; null ids come last).
 
-    Only ids decide the runs: split points by ``approx_percentile``, then one
-    shuffle moves each text once to its run, plus one text per run that the run
-    before needs as neighbour.
+    Ids, and where they repeat or are null the first letters of the texts, decide
+    the runs: split points from a sample, then one shuffle moves each text once to
+    its run, plus one text per run that the run before needs as neighbour.  A run is
+    streamed, so only rows with one id and one text beginning stay together, and
+    these cost time, not memory.
     """
-    base = id_text(docs).select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("doc_id"), "text")
-    runs = partitions(docs.sparkSession)
-    share = [i / runs for i in range(1, runs)]
-    cuts = base.agg(F.percentile_approx("doc_id", share, 100_000).alias("c")).first()["c"] if share else []
-    cuts = sorted(set(cuts or []))
+    spark = docs.sparkSession
+    runs, order = partitions(spark), ["-doc_id", "_head"]
+    base = id_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    keyed = base.withColumn("_head", F.substring("text", 1, 32))
     # run 0 holds the largest ids
-    split = F.array(*[F.lit(int(x)) for x in cuts]).cast("array<bigint>")
-    run = F.size(F.filter(split, lambda s: s >= F.col("doc_id")))
-    placed = base.withColumn("_run", run)
-    first = {r["_run"]: r["m"] for r in placed.groupBy("_run").agg(  # one row per run
+    placed = range_of(keyed, order, split_points(keyed, order, runs, base.count()), "_run")
+    first = {r["_run"]: r["m"] for r in placed.groupBy("_run").agg(  # one row per run; null: no ids in it
         F.max("doc_id").alias("m")).collect()}
-    order = sorted(first)
-    tails = {first[r]: order[i - 1] for i, r in enumerate(order)}  # wraps: the first serves the last
-    spark = docs.sparkSession
-    extra = spark.createDataFrame([(k, v) for k, v in tails.items()], "_first long, _before int")
-    tail_rows = base.join(F.broadcast(extra), F.col("doc_id") == F.col("_first")) \
-        .groupBy("_before", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    filled = sorted(first)
+    tails = [(r, first[r], filled[i - 1]) for i, r in enumerate(filled)]  # wraps: the first serves the last
+    extra = spark.createDataFrame(tails, "_of int, _first long, _before int")
+    tail_rows = placed.join(F.broadcast(extra), (F.col("_run") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_first"))) \
+        .groupBy("_before", "doc_id").agg(F.min("text").alias("text"))
     rows = placed.select("_run", F.lit(False).alias("_tail"), "doc_id", "text").unionByName(
         tail_rows.select(F.col("_before").alias("_run"), F.lit(True).alias("_tail"), "doc_id", "text"))
-    rows = rows.withColumn("text", F.coalesce("text", F.lit("")))
-    out = rows.repartitionById(runs, F.col("_run").cast("int")).sortWithinPartitions(
-        "_run", "_tail", F.col("doc_id").desc(), "text").mapInArrow(_walk, _RESULT)
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != NULL_ID, F.col("doc_id")))
+    return rows.repartitionById(runs, F.col("_run").cast("int")).sortWithinPartitions(
+        "_run", "_tail", F.col("doc_id").desc_nulls_last(), "text").mapInArrow(_walk, _RESULT)
