@@ -172,7 +172,9 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> OrdinalMo
         part = known.filter(F.col("toxic") == t).orderBy("_h", "doc_id").limit(max_docs)
         picked = part if picked is None else picked.unionByName(part)
     rows = id_text(docs).join(F.broadcast(picked), "doc_id").select("_h", "toxic", "text").mapInArrow(
-        _sparse, "_h long, toxic int, cols binary, vals binary").collect()  # the sample
+        _sparse, "_h long, toxic int, cols binary, vals binary")
+    # the sample: one row per sampled id, however many rows repeat it
+    rows = rows.groupBy("_h").agg(F.min(F.struct("toxic", "cols", "vals")).alias("r")).select("_h", "r.*").collect()
     rows.sort(key=lambda r: (r["_h"], bytes(r["cols"]), bytes(r["vals"])))
     if not any(r["toxic"] for r in rows):
         return None
