@@ -7,12 +7,14 @@ probabilities (weighted by bytes), normalised over the languages.
 
 The network is trained in numpy on the driver from a bounded sample of labelled
 texts: at most ``max_docs`` documents (languages drawn evenly, in the order of
-a hash of the id) with at most two windows each.  All known languages are
-counted over all labelled rows.  Prediction covers every window of every text.
+a hash of the id) with two windows each; rows that repeat an id and language
+count as one document there (the smallest window is taken).  All known languages
+are counted over all labelled rows.  Prediction covers every window of every text.
 
 Defined results: null text or text without letters: ``und``, score 0; very short
 texts are padded; rows with a null ``lang`` are not learned from; a table without
-labelled rows predicts ``und``; extra columns are not read.
+labelled rows predicts ``und``, and ``keep_identified`` then has no ground to reject a
+text with letters and keeps it; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from finlake.llm.common import fold, id_text
+from finlake.llm.common import fold, id_text, tidy
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -143,7 +145,8 @@ def train(labelled: DataFrame, max_docs: int = 6000, epochs: int = 6) -> ByteCon
               .orderBy(unit, "_h").limit(max_docs).select("_h").distinct())
     got = rows.join(F.broadcast(chosen), "_h").select("lang", "_h", "text").mapInArrow(  # max_docs rows
         _sample_windows, "lang string, _h long, turn long, window binary") \
-        .orderBy("_h", "turn", "window").limit(4 * max_docs).collect()
+        .groupBy("_h", "turn").agg(F.min(F.struct("lang", "window")).alias("w")) \
+        .select("w.lang", "_h", "turn", "w.window").orderBy("_h", "turn").collect()  # two per chosen document
     if not got:
         return None
     classes = sorted(r["lang"] for r in counts.select("lang").collect())  # one row per language
@@ -177,7 +180,7 @@ def _predict(net: ByteConvNet | None):
 
 def predict(docs: DataFrame, net: ByteConvNet | None) -> DataFrame:
     """doc_id, lang_pred, score for every row; only the text is looked at."""
-    return id_text(docs).mapInArrow(_predict(net), "doc_id long, lang_pred string, score double")
+    return id_text(docs).mapInArrow(tidy(_predict(net)), "doc_id long, lang_pred string, score double")
 
 
 def identify(docs: DataFrame, max_docs: int = 6000) -> DataFrame:
@@ -189,15 +192,20 @@ def identify(docs: DataFrame, max_docs: int = 6000) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, net: ByteConvNet | None, min_score: float = 0.5) -> DataFrame:
-    """Rows whose language is recognised with at least ``min_score``; columns as they are."""
+    """Rows whose language is recognised with at least ``min_score``; columns as they are.
+    Without a network (nothing was labelled) rows whose text has a letter."""
     names = docs.columns
 
     def run(batches):
         judge = _predict(net)
         for b in batches:
+            if net is None:
+                yield b.filter(pa.array([bool(t) and any(map(str.isalpha, t)) for t in b.column("text").to_pylist()],
+                                        pa.bool_()))
+                continue
             view = pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text")], names=["doc_id", "text"])
             got = next(judge(iter([view])))
             keep = [p != UNKNOWN and s >= min_score for p, s in
                     zip(got.column("lang_pred").to_pylist(), got.column("score").to_pylist())]
             yield b.filter(pa.array(keep, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema).select(*names)
+    return docs.mapInArrow(tidy(run), docs.schema).select(*names)
