@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from finlake.llm.common import id_text, stage
+from finlake.llm.common import id_text, stage, tidy
 from finlake.llm.tokens import default_vocabulary, tokenizer
 
 PIECE = ("doc_id long, start long, length long, doc_tokens long, ids binary, "
@@ -30,7 +30,8 @@ PIECE = ("doc_id long, start long, length long, doc_tokens long, ids binary, "
 _ARROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                     ("doc_tokens", pa.int64()), ("ids", pa.binary()), ("part", pa.int64()),
                     ("win", pa.int64()), ("off", pa.int64()), ("closed", pa.bool_())])
-_FLUSH_BYTES = 8 << 20
+_FLUSH_BYTES = 4 << 20
+ROWS = 400  # texts with their ids held at a time
 
 
 class OpenWindows:
@@ -66,9 +67,9 @@ class OpenWindows:
         return self.opened - 1
 
 
-def _pack_task(vocabulary: str, end_id: int, capacity: int, limit: int):
+def _pack_task(vocabulary: str, end_id: int, capacity: int, limit: int, cache: int | None = None):
     def run(batches):
-        tok = tokenizer(vocabulary)
+        tok = tokenizer(vocabulary, cache)
         part = TaskContext.get().partitionId()
         end = int(end_id).to_bytes(4, "little")
         windows = OpenWindows(capacity, limit)
@@ -88,7 +89,7 @@ def _pack_task(vocabulary: str, end_id: int, capacity: int, limit: int):
             rows.clear()
             return got
 
-        for batch in batches:
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, len(b), ROWS)):
             ids_of = tok.encode(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of):
                 ids += end
@@ -115,16 +116,17 @@ def _pack_task(vocabulary: str, end_id: int, capacity: int, limit: int):
             if len(rows) > 10_000:
                 yield flush()
         yield flush()
-    return run
+    return tidy(run)
 
 
 def pack(docs: DataFrame, capacity: int = 4096, open_windows: int = 64,
-         vocabulary: str | None = None, end_id: int = 2) -> DataFrame:
+         vocabulary: str | None = None, end_id: int = 2, cache: int | None = None) -> DataFrame:
     """Pieces with their ids: doc_id, start, length, doc_tokens, ids (binary,
     little-endian uint32), sequence_id, offset.  The first pass is staged, so
-    texts are tokenized once and sequence numbers stay as they are."""
+    texts are tokenized once and sequence numbers stay as they are.  ``cache``:
+    pre-tokens that a worker remembers (time and memory only)."""
     pieces = stage(id_text(docs).mapInArrow(
-        _pack_task(vocabulary or default_vocabulary(), end_id, capacity, open_windows), PIECE),
+        _pack_task(vocabulary or default_vocabulary(), end_id, capacity, open_windows, cache), PIECE),
         "pack")
     cols = ["doc_id", "start", "length", "doc_tokens", "ids", "sequence_id", "offset"]
     full = pieces.filter("closed").select(
