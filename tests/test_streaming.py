@@ -143,3 +143,31 @@ def test_timestamps_must_be_full_iso(spark):
     got = {r.key: r._reject_reason for r in parsed.select("key", "_reject_reason").collect()}
     assert all(got[t] == "invalid_timestamp" for t in bad)
     assert not any(got[t] == "invalid_timestamp" for t in good)
+
+
+def test_a_large_batch_is_dealt_out(spark, tmp_path, monkeypatch):
+    """What one task parses and keeps does not follow the size of the files that the messages came in."""
+    monkeypatch.setattr(consumer, "ROWS_PER_PART", 10, raising=False)
+    msgs = [dict(BASE, transaction_id=f"t{i}") for i in range(95)]
+    batch = _msgs(spark, *msgs, "{bad").coalesce(1)
+    target, dead = str(tmp_path / "raw"), str(tmp_path / "dead")
+    assert consumer.write_batch(batch, target, dead) == {"good": 95, "rejected": 1}
+    raw = spark.read.parquet(target)
+    assert {r.transaction_id for r in raw.select("transaction_id").collect()} == {f"t{i}" for i in range(95)}
+    sizes = [r["count"] for r in raw.groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 12
+    assert [r.key for r in spark.read.parquet(dead).collect()] == ["k95"]
+
+
+def test_inbox_files_follow_the_messages(spark, tmp_path, monkeypatch):
+    from finlake import registry
+
+    rows = spark.createDataFrame([(f"k{i % 7}", f"m{i}") for i in range(500)], "key string, value string")
+    monkeypatch.setattr(registry.S, "stream_messages", lambda *_: rows)
+    monkeypatch.setattr(registry, "INBOX_ROWS", 20, raising=False)
+    path, files = registry._inbox(spark, "", str(tmp_path))
+    inbox = spark.read.parquet(path)
+    sizes = [r["count"] for r in inbox.groupBy("_metadata.file_path").count().collect()]
+    assert files == 30 and sum(sizes) == 500 and max(sizes) <= 60
+    monkeypatch.setattr(registry, "INBOX_ROWS", 1000)
+    assert registry._inbox(spark, "", str(tmp_path / "few"))[1] == registry.INBOX_FILES
