@@ -234,7 +234,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     filled = sorted(first)
     tails = [(r, first[r], filled[i - 1]) for i, r in enumerate(filled)]  # wraps: the first serves the last
     extra = spark.createDataFrame(tails, "_of int, _first long, _before int")
-    tail_rows = placed.join(F.broadcast(extra), (F.col("_run") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_first"))) \
+    # null-safe, though no run is null: a plain equality has the planner push "_run is not null" through
+    # every step of the search for the run, whose expression grows many times over at each
+    tail_rows = placed.join(F.broadcast(extra), F.col("_run").eqNullSafe(F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_first"))) \
         .groupBy("_before", "doc_id").agg(F.min("text").alias("text"))
     rows = placed.select("_run", F.lit(False).alias("_tail"), "doc_id", "text").unionByName(
         tail_rows.select(F.col("_before").alias("_run"), F.lit(True).alias("_tail"), "doc_id", "text"))

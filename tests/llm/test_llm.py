@@ -413,3 +413,14 @@ def test_pipeline(spark):
         left = docs.count()
     pieces = P.STAGES[-1][1](spark, docs, SF)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}
+
+
+def test_the_plan_of_many_runs_fits_the_driver(spark):
+    """A filter pushed through the search for a run multiplies at each step: it filled the driver at 211 runs."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    spark.conf.set("spark.sql.shuffle.partitions", "300")
+    try:
+        fingerprints.compare_with_next(docs)._jdf.queryExecution().optimizedPlan()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
